@@ -7,12 +7,18 @@ is its aggregate; these functions see one row per finished test.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Ship this module's code inside the functions, so executors need no copy of
+# the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _TINY = 1e-300
 _EPS = 1e-16
 _MAX_TERMS = 100_000

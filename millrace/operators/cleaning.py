@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import types as ty
-from millrace.functions.expressions import chunks, ratio, rows_of, union_all
+from millrace.functions.expressions import chunks, rows_of
+from millrace.functions.sqltext import aggregate_rows, name_sql, text_sql
 from millrace.functions.types import ref
 from millrace.operators.frequency import distinct_counts, distinct_map, modes
 from millrace.operators.quantiles import column_quantiles
@@ -72,20 +73,28 @@ def normalize_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def to_number(c: Column) -> Column:
+def number_text_sql(c: str) -> str:
     """Text to double, NULL where it is not a plain number."""
-    return F.when(c.rlike(NUMBER_SHAPE), F.trim(c).try_cast("double"))
+    return f"CASE WHEN {c} RLIKE {text_sql(NUMBER_SHAPE)} THEN try_cast(trim({c}) AS double) END"
 
 
-def to_time(c: Column, shapes: Sequence[DateShape] = DATE_SHAPES) -> Column:
+def time_text_sql(c: str, shapes: Sequence[DateShape] = DATE_SHAPES) -> str:
     """Text to timestamp without time zone by the declared shapes, else NULL."""
-    text = F.trim(c)
-    out: Column | None = None
+    arms = []
     for s in shapes:
-        iso = F.regexp_replace(text, s.find, s.iso) if s.find else text
-        parsed = iso.try_cast("timestamp_ntz")
-        out = F.when(text.rlike(s.shape), parsed) if out is None else out.when(text.rlike(s.shape), parsed)
-    return out
+        iso = f"trim({c})"
+        if s.find:
+            iso = f"regexp_replace({iso}, {text_sql(s.find)}, {text_sql(s.iso)})"
+        arms.append(f"WHEN trim({c}) RLIKE {text_sql(s.shape)} THEN try_cast({iso} AS timestamp_ntz)")
+    return f"CASE {' '.join(arms)} END"
+
+
+def to_number(column: str) -> Column:
+    return F.expr(number_text_sql(name_sql(column)))
+
+
+def to_time(column: str) -> Column:
+    return F.expr(time_text_sql(name_sql(column)))
 
 
 def apply_schema(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> DataFrame:
@@ -100,9 +109,9 @@ def apply_schema(df: DataFrame, schema: Mapping[str, Mapping[str, str]]) -> Data
         c, text = ref(name), ty.is_text(ty.dtype_of(df, name))
         kind = want.get("dtype")
         if kind == "numeric":
-            casts[name] = to_number(c) if text else ty.as_number(df, name)
+            casts[name] = to_number(name) if text else ty.as_number(df, name)
         elif kind == "datetime":
-            casts[name] = to_time(c) if text else c.cast("timestamp_ntz")
+            casts[name] = to_time(name) if text else c.cast("timestamp_ntz")
         elif kind == "text":
             casts[name] = c.cast("string")
     return df.withColumns(casts) if casts else df
@@ -115,30 +124,26 @@ def detect_types(df: DataFrame) -> DataFrame:
     first), numeric if over 80 % read as numbers, else text.  Other columns
     report their own type.
     """
-    frames = []
+    blocks = []
     for block in chunks(df.columns, 100):
-        text = [c for c in block if ty.is_text(ty.dtype_of(df, c))]
-        wide = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[F.count(to_time(ref(c))).alias(f"d{i}") for i, c in enumerate(block) if c in text],
-            *[F.count(to_number(ref(c))).alias(f"n{i}") for i, c in enumerate(block) if c in text],
-        )
-        records = []
+        aggregates, records = {"rows": "count(1)"}, []
         for i, c in enumerate(block):
-            none = F.lit(None).cast("double")
-            date = num = none
-            kind = F.lit(ty.dtype_of(df, c).simpleString())
-            if c in text:
-                date, num = ratio(F.col(f"d{i}"), F.col("rows")), ratio(F.col(f"n{i}"), F.col("rows"))
-                kind = F.when(date > DATE_SHARE, "datetime").when(num > NUMBER_SHARE, "numeric").otherwise("text")
-            records.append(
-                F.struct(
-                    F.lit(c).alias("column"), kind.alias("suggestion"),
-                    date.alias("date_frac"), num.alias("num_frac"),
+            kind = ty.dtype_of(df, c)
+            date = num = "cast(NULL AS double)"
+            found = text_sql(kind.simpleString())
+            if ty.is_text(kind):
+                aggregates[f"d{i}"] = f"count({time_text_sql(name_sql(c))})"
+                aggregates[f"n{i}"] = f"count({number_text_sql(name_sql(c))})"
+                date, num = f"try_divide(d{i}, rows)", f"try_divide(n{i}, rows)"
+                found = (
+                    f"CASE WHEN {date} > {DATE_SHARE}D THEN 'datetime' "
+                    f"WHEN {num} > {NUMBER_SHARE}D THEN 'numeric' ELSE 'text' END"
                 )
+            records.append(
+                {"column": text_sql(c), "suggestion": found, "date_frac": date, "num_frac": num}
             )
-        frames.append(wide.select(rows_of(records)))
-    return union_all(frames)
+        blocks.append((aggregates, records))
+    return aggregate_rows(df, blocks)
 
 
 def correct_types(df: DataFrame) -> DataFrame:
@@ -146,11 +151,10 @@ def correct_types(df: DataFrame) -> DataFrame:
     casts: dict[str, Column] = {}
     if ty.text_columns(df):
         for r in detect_types(df.select(*[ref(c) for c in ty.text_columns(df)])).collect():
-            c = ref(r["column"])
             if r["suggestion"] == "numeric":
-                casts[r["column"]] = to_number(c)
+                casts[r["column"]] = to_number(r["column"])
             elif r["suggestion"] == "datetime":
-                casts[r["column"]] = to_time(c)
+                casts[r["column"]] = to_time(r["column"])
     return df.withColumns(casts) if casts else df
 
 

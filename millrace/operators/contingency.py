@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.expressions import ratio, rows_of
-from millrace.functions.types import as_number, ref
+from millrace.functions.expressions import ratio
+from millrace.functions.sqltext import inline, name_sql, number_sql, record, text_sql
 
 
 def contingency(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -21,22 +21,24 @@ def contingency(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     if not pairs:
         raise ValueError("no column pairs given")
     records = [
-        F.struct(
-            F.lit(i).alias("pair"),
-            ref(a).cast("string").alias("v1"),
-            ref(b).cast("string").alias("v2"),
+        record(
+            {
+                "pair": str(i), "v1": f"cast({name_sql(a)} AS string)", "v2": f"cast({name_sql(b)} AS string)",
+            }
         )
         for i, (a, b) in enumerate(pairs)
     ]
     cells = (
-        df.select(rows_of(records))
-        .filter(F.col("v1").isNotNull() & F.col("v2").isNotNull())
+        df.selectExpr(inline(records))
+        .filter("v1 IS NOT NULL AND v2 IS NOT NULL")
         .groupBy("pair", "v1", "v2")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+        .agg(F.expr("count(1) AS cnt"))
     )
-    label_a = F.element_at(F.array(*[F.lit(a) for a, _ in pairs]), F.col("pair") + 1)
-    label_b = F.element_at(F.array(*[F.lit(b) for _, b in pairs]), F.col("pair") + 1)
-    return cells.select(label_a.alias("col_a"), label_b.alias("col_b"), "v1", "v2", "cnt")
+    labels = [
+        f"element_at(array({', '.join(text_sql(p[side]) for p in pairs)}), pair + 1) AS {name}"
+        for side, name in ((0, "col_a"), (1, "col_b"))
+    ]
+    return cells.selectExpr(*labels, "v1", "v2", "cnt")
 
 
 def crosstab(df: DataFrame, a: str, b: str, bucket: int = 1000) -> DataFrame:
@@ -121,20 +123,20 @@ def group_moments(df: DataFrame, cats: Sequence[str], nums: Sequence[str]) -> Da
     columns, so the blow-up does not grow with their number.
     """
     cats, nums = list(cats), list(nums)
-    records = [
-        F.struct(F.lit(c).alias("cat"), ref(c).cast("string").alias("key")) for c in cats
+    keys = [
+        record({"cat": text_sql(c), "key": f"cast({name_sql(c)} AS string)"}) for c in cats
     ]
-    spread = df.select(*[as_number(df, m).alias(f"n{i}") for i, m in enumerate(nums)],
-                       rows_of(records)).filter(F.col("key").isNotNull())
+    spread = df.selectExpr(
+        *[f"{number_sql(df, m)} AS n{i}" for i, m in enumerate(nums)], inline(keys)
+    ).filter("key IS NOT NULL")
     grouped = spread.groupBy("cat", "key").agg(
         *[
-            F.struct(
-                F.lit(m).alias("num"),
-                F.count(f"n{i}").alias("cnt"),
-                F.avg(f"n{i}").alias("mean"),
-                F.var_samp(f"n{i}").alias("var"),
-            ).alias(f"g{i}")
-            for i, m in enumerate(nums)
+            F.expr(f"{f}(n{i}) AS {f}{i}")
+            for i in range(len(nums)) for f in ("count", "avg", "var_samp")
         ]
     )
-    return grouped.select("cat", "key", rows_of([F.col(f"g{i}") for i in range(len(nums))]))
+    records = [
+        record({"num": text_sql(m), "cnt": f"count{i}", "mean": f"avg{i}", "var": f"var_samp{i}"})
+        for i, m in enumerate(nums)
+    ]
+    return grouped.selectExpr("cat", "key", inline(records))

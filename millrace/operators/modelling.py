@@ -179,15 +179,20 @@ def train_tuned(
         boosted = GBTRegressor(maxIter=20, **shared)
         judge = RegressionEvaluator(labelCol=label, metricName="rmse")
         two = True
-    pipeline = Pipeline()
-    grid = ParamGridBuilder().baseOn({pipeline.stages: [assembler, forest]}).addGrid(forest.maxDepth, [5, 10]).build()
+    families = [(forest, ParamGridBuilder().addGrid(forest.maxDepth, [5, 10]).build())]
     if two:
-        grid += ParamGridBuilder().baseOn({pipeline.stages: [assembler, boosted]}).addGrid(boosted.maxDepth, [3, 5]).build()
-    tuner = TrainValidationSplit(
-        estimator=pipeline, estimatorParamMaps=grid, evaluator=judge,
-        trainRatio=0.8, parallelism=parallelism, seed=seed,
-    )
-    best = tuner.fit(ready).bestModel
+        families.append((boosted, ParamGridBuilder().addGrid(boosted.maxDepth, [3, 5]).build()))
+    assembled = assembler.transform(ready)
+    tried = []
+    for est, grid in families:
+        tuner = TrainValidationSplit(
+            estimator=est, estimatorParamMaps=grid, evaluator=judge,
+            trainRatio=0.8, parallelism=parallelism, seed=seed,
+        )
+        fitted = tuner.fit(assembled)
+        tried += [(v, fitted.bestModel) for v in fitted.validationMetrics]
+    pick = max if judge.isLargerBetter() else min
+    best = PipelineModel([assembler, pick(tried, key=lambda t: t[0])[1]])
     return Trained("Tuned Trees", best, list(features), label, problem_type)
 
 

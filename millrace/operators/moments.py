@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import types as ty
-from millrace.functions.expressions import chunks, ratio, rows_of, union_all
-from millrace.functions.types import as_number
+from millrace.functions.expressions import chunks, ratio
+from millrace.functions.sqltext import aggregate_rows, double_sql, number_sql, text_sql
 from millrace.operators.summary import column_facts
 
 PAIRS_PER_PASS = 150
@@ -37,52 +37,56 @@ def pair_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
     used = list(dict.fromkeys(c for p in pairs for c in p))
     facts = column_facts(df, used)
     full = {c for c in used if facts[c]["present"] == facts[c]["rows"]}
-
-    def centred(c: str) -> Column:
-        return as_number(df, c) - F.lit(facts[c]["mean"] or 0.0)
-
-    frames = []
-    for block in chunks(pairs, PAIRS_PER_PASS):
-        aggs: dict[str, Column] = {}
-        slots = []
-        for i, (a, b) in enumerate(block):
-            x, y = centred(a), centred(b)
-            plain = a in full and b in full
-            names = {"n": f"n_{i}", "sxy": f"xy_{i}"}
-            aggs[names["sxy"]] = F.sum(x * y)
-            for side, (me, other, z) in {"x": (a, b, x), "y": (b, a, y)}.items():
-                key = str(used.index(me)) if plain else f"{i}{side}"
-                z = z if plain else F.when(as_number(df, other).isNotNull(), z)
-                names[f"s{side}"], names[f"s{side}{side}"] = f"s_{key}", f"q_{key}"
-                aggs[f"s_{key}"], aggs[f"q_{key}"] = F.sum(z), F.sum(z * z)
-                names[f"v{side}"] = f"v_{key}"
-                aggs[f"v_{key}"] = F.min(z) < F.max(z)
-            if plain:
-                names["n"] = "n_all"
-                aggs["n_all"] = F.count(F.lit(1))
-            else:
-                aggs[names["n"]] = F.count(x * y)
-            slots.append((a, b, names))
-        wide = df.agg(*[e.alias(k) for k, e in aggs.items()])
-        frames.append(wide.select(rows_of([_pair_row(a, b, n) for a, b, n in slots])))
-    return union_all(frames)
-
-
-def _pair_row(a: str, b: str, names: dict[str, str]) -> Column:
-    v = {k: F.col(n) for k, n in names.items()}
-    sxy = v["sxy"] - ratio(v["sx"] * v["sy"], v["n"])
-    sxx = v["sxx"] - ratio(v["sx"] * v["sx"], v["n"])
-    syy = v["syy"] - ratio(v["sy"] * v["sy"], v["n"])
-    r = F.when(v["vx"] & v["vy"], ratio(sxy, F.sqrt(sxx) * F.sqrt(syy)))
-    clipped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
-    return F.struct(
-        F.lit(a).alias("col_a"),
-        F.lit(b).alias("col_b"),
-        v["n"].alias("n"),
-        F.when(r.isNotNull(), clipped).alias("r"),
+    slot = {c: f"c{i}" for i, c in enumerate(used)}
+    centred = df.selectExpr(
+        *[f"{number_sql(df, c)} - {double_sql(facts[c]['mean'] or 0.0)} AS {slot[c]}" for c in used]
+    )
+    return _correlations(
+        aggregate_rows(centred, [_pair_sums(block, slot, full) for block in chunks(pairs, PAIRS_PER_PASS)])
     )
 
 
+def _pair_sums(
+    pairs: Sequence[tuple[str, str]], slot: dict[str, str], full: set[str]
+) -> tuple[dict[str, str], list[dict[str, str]]]:
+    """Aggregates and records for a block of pairs of centred columns.
+
+    A pair with missing values sums each side over rows where the other side
+    is present; complete pairs share their single-column sums.
+    """
+    aggregates: dict[str, str] = {"n_all": "count(1)"}
+    records = []
+    for i, (a, b) in enumerate(pairs):
+        x, y = slot[a], slot[b]
+        plain = a in full and b in full
+        aggregates[f"xy_{i}"] = f"sum({x} * {y})"
+        parts = {"col_a": text_sql(a), "col_b": text_sql(b), "n": "n_all", "sxy": f"xy_{i}"}
+        if not plain:
+            aggregates[f"n_{i}"] = f"count({x} * {y})"
+            parts["n"] = f"n_{i}"
+        for side, me, other in (("x", x, y), ("y", y, x)):
+            key = me if plain else f"{i}{side}"
+            z = me if plain else f"CASE WHEN {other} IS NOT NULL THEN {me} END"
+            aggregates.update(
+                {f"s_{key}": f"sum({z})", f"q_{key}": f"sum({z} * {z})", f"v_{key}": f"min({z}) < max({z})"}
+            )
+            parts.update({f"s{side}": f"s_{key}", f"s{side}{side}": f"q_{key}", f"v{side}": f"v_{key}"})
+        records.append(parts)
+    return aggregates, records
+
+
+def _correlations(moments: DataFrame) -> DataFrame:
+    n = F.col("n")
+
+    def about_mean(product: str, a: str, b: str) -> Column:
+        return F.col(product) - ratio(F.col(a) * F.col(b), n)
+
+    scale = F.sqrt(about_mean("sxx", "sx", "sx")) * F.sqrt(about_mean("syy", "sy", "sy"))
+    r = F.when(F.col("vx") & F.col("vy"), ratio(about_mean("sxy", "sx", "sy"), scale))
+    bounded = F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    return moments.select("col_a", "col_b", "n", bounded.alias("r"))
+
+
 def correlation_pairs(
     df: DataFrame, columns: Sequence[str] | None = None, threshold: float = 0.3
 ) -> DataFrame:

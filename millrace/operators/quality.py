@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import types as ty
-from millrace.functions.expressions import chunks, ratio, rows_of, union_all
-from millrace.functions.types import as_number, ref
+from millrace.functions.expressions import chunks, ratio, rows_of
+from millrace.functions.sqltext import aggregate_rows, double_sql, name_sql, number_sql, text_sql
+from millrace.functions.types import ref
 from millrace.operators.frequency import distinct_counts
 from millrace.operators.quantiles import column_quantiles
 from millrace.operators.summary import numeric_summary, presence
@@ -36,27 +37,23 @@ def quality_profile(df: DataFrame) -> DataFrame:
 
     Duplicates and missing counts are both sums over the distinct rows.
     """
-    wide = _row_groups(df).agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"),
-        *[
-            F.coalesce(F.sum(F.when(ref(c).isNull(), F.col("copies"))), F.lit(0)).alias(f"m{i}")
+    aggregates = {
+        "rows": "coalesce(sum(copies), 0L)",
+        "duplicates": "coalesce(sum(copies - 1), 0L)",
+        **{
+            f"m{i}": f"coalesce(sum(CASE WHEN {name_sql(c)} IS NULL THEN copies END), 0L)"
             for i, c in enumerate(df.columns)
-        ],
-    )
-    missing = [F.col(f"m{i}") for i in range(len(df.columns))]
-    total = sum(missing[1:], missing[0])
-    return wide.select(
-        rows_of(
-            [
-                F.struct(
-                    F.lit(c).alias("column"), "rows", "duplicates",
-                    m.alias("missing"), total.alias("missing_total"),
-                )
-                for c, m in zip(df.columns, missing)
-            ]
-        )
-    )
+        },
+    }
+    total = " + ".join(f"m{i}" for i in range(len(df.columns)))
+    records = [
+        {
+            "column": text_sql(c), "rows": "rows", "duplicates": "duplicates",
+            "missing": f"m{i}", "missing_total": total,
+        }
+        for i, c in enumerate(df.columns)
+    ]
+    return aggregate_rows(_row_groups(df), [(aggregates, records)])
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -188,32 +185,20 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     if not bounds:
         schema = "column string, cnt bigint, pct double, lower_bound double, upper_bound double"
         return df.sparkSession.createDataFrame([], schema)
-    frames = []
+    blocks = []
     for block in chunks(bounds, 100):
-        wide = df.agg(
-            F.count(F.lit(1)).alias("rows"),
-            *[
-                F.count_if((as_number(df, c) < bounds[c][0]) | (as_number(df, c) > bounds[c][1])).alias(f"o{i}")
-                for i, c in enumerate(block)
-            ],
-        )
-        frames.append(
-            wide.select(
-                rows_of(
-                    [
-                        F.struct(
-                            F.lit(c).alias("column"),
-                            F.col(f"o{i}").alias("cnt"),
-                            (ratio(F.col(f"o{i}"), F.col("rows")) * 100).alias("pct"),
-                            F.lit(bounds[c][0]).alias("lower_bound"),
-                            F.lit(bounds[c][1]).alias("upper_bound"),
-                        )
-                        for i, c in enumerate(block)
-                    ]
-                )
+        aggregates, records = {"rows": "count(1)"}, []
+        for i, c in enumerate(block):
+            x, low, high = number_sql(df, c), *map(double_sql, bounds[c])
+            aggregates[f"o{i}"] = f"count_if({x} < {low} OR {x} > {high})"
+            records.append(
+                {
+                    "column": text_sql(c), "cnt": f"o{i}", "pct": f"try_divide(100.0D * o{i}, rows)",
+                    "lower_bound": low, "upper_bound": high,
+                }
             )
-        )
-    return union_all(frames).filter(F.col("cnt") > 0)
+        blocks.append((aggregates, records))
+    return aggregate_rows(df, blocks).filter("cnt > 0")
 
 
 def column_roles(df: DataFrame) -> DataFrame:
@@ -223,32 +208,24 @@ def column_roles(df: DataFrame) -> DataFrame:
     id: distinct values make up at least 90 % of the rows, any type.
     """
     ty.require_flat(df)
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    aggregates, records = {"rows": "count(1)"}, []
     for i, c in enumerate(df.columns):
-        kind, x = ty.dtype_of(df, c), ref(c)
+        kind, x = ty.dtype_of(df, c), name_sql(c)
+        zero_one = f"{x} IS NULL"
         if ty.is_number(kind):
-            zero_one = x.isNull() | x.isin(0, 1)
+            zero_one = f"{x} IS NULL OR {x} IN (0, 1)"
         elif ty.is_boolean(kind):
-            zero_one = F.lit(True)
-        else:
-            zero_one = x.isNull()
-        aggs.append(F.coalesce(F.bool_and(zero_one), F.lit(True)).alias(f"b{i}"))
-        length = F.avg(F.length(x)) if ty.is_text(kind) else F.lit(None).cast("double")
-        aggs.append(length.alias(f"l{i}"))
-    facts = df.agg(*aggs).select(
-        rows_of(
-            [
-                F.struct(
-                    F.lit(c).alias("column"), "rows",
-                    F.col(f"b{i}").alias("zero_one"), F.col(f"l{i}").alias("mean_length"),
-                    F.lit(ty.is_number(ty.dtype_of(df, c))).alias("is_number"),
-                    F.lit(ty.is_time(ty.dtype_of(df, c))).alias("is_time"),
-                    F.lit(ty.is_text(ty.dtype_of(df, c))).alias("is_text"),
-                )
-                for i, c in enumerate(df.columns)
-            ]
+            zero_one = "true"
+        aggregates[f"b{i}"] = f"coalesce(bool_and({zero_one}), true)"
+        aggregates[f"l{i}"] = f"avg(length({x}))" if ty.is_text(kind) else "max(cast(NULL AS double))"
+        records.append(
+            {
+                "column": text_sql(c), "rows": "rows", "zero_one": f"b{i}", "mean_length": f"l{i}",
+                "is_number": str(ty.is_number(kind)), "is_time": str(ty.is_time(kind)),
+                "is_text": str(ty.is_text(kind)),
+            }
         )
-    )
+    facts = aggregate_rows(df, [(aggregates, records)])
     # One row per column on both sides.
     known = facts.join(F.broadcast(distinct_counts(df)), "column", "left")
     wordy = F.col("is_text") & ~F.col("zero_one") & (F.coalesce("mean_length", F.lit(0.0)) > TEXT_MEAN_LENGTH)

@@ -9,38 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Row
 
 from millrace.functions import types as ty
-from millrace.functions.expressions import chunks, rows_of, union_all
-from millrace.functions.types import as_number, ref
+from millrace.functions.expressions import chunks
+from millrace.functions.sqltext import aggregate_rows, name_sql, number_sql, record, text_sql
 
 BLOCK = 100
 
 
-def sample_skew(c: Column, n: Column) -> Column:
+def sample_skew_sql(x: str) -> str:
     """Bias-corrected skewness: 0 for a constant, NULL below three values."""
-    n = n.cast("double")
-    corrected = F.skewness(c) * F.try_divide(F.sqrt(n * (n - 1)), n - 2)
-    return F.when(n >= 3, F.when(F.min(c) == F.max(c), 0.0).otherwise(corrected))
-
-
-def _numeric_parts(df: DataFrame, name: str, skew: bool) -> list[Column]:
-    c = as_number(df, name)
-    parts = [
-        F.lit(name).alias("column"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count(c).alias("present"),
-        F.avg(c).alias("mean"),
-        F.stddev_samp(c).alias("std"),
-        F.stddev_pop(c).alias("std_pop"),
-        F.min(c).alias("min"),
-        F.max(c).alias("max"),
-    ]
-    if skew:
-        parts.append(sample_skew(c, F.count(c)).alias("skew"))
-    return parts
+    n = f"cast(count({x}) as double)"
+    return (
+        f"CASE WHEN count({x}) >= 3 THEN CASE WHEN min({x}) = max({x}) THEN 0.0D "
+        f"ELSE skewness({x}) * try_divide(sqrt({n} * ({n} - 1)), {n} - 2) END END"
+    )
 
 
 def numeric_summary(
@@ -50,39 +34,35 @@ def numeric_summary(
     names = list(columns) if columns is not None else ty.number_columns(df)
     if not names:
         raise ValueError("no numeric columns to summarise")
-    frames = []
+    blocks = []
     for block in chunks(names, BLOCK):
-        wide = df.agg(
-            *[F.struct(*_numeric_parts(df, c, skew)).alias(f"s{i}") for i, c in enumerate(block)]
-        )
-        frames.append(wide.select(rows_of([F.col(f"s{i}") for i in range(len(block))])))
-    return union_all(frames)
+        aggregates = {"rows": "count(1)"}
+        records = []
+        for i, c in enumerate(block):
+            x = number_sql(df, c)
+            parts = {
+                "present": f"count({x})", "mean": f"avg({x})", "std": f"stddev_samp({x})",
+                "std_pop": f"stddev_pop({x})", "min": f"min({x})", "max": f"max({x})",
+            }
+            if skew:
+                parts["skew"] = sample_skew_sql(x)
+            aggregates.update({f"{p}{i}": sql for p, sql in parts.items()})
+            records.append({"column": text_sql(c), "rows": "rows", **{p: f"{p}{i}" for p in parts}})
+        blocks.append((aggregates, records))
+    return aggregate_rows(df, blocks)
 
 
 def presence(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, rows, missing) for every column, of any type."""
     names = list(columns) if columns is not None else df.columns
-    frames = []
+    blocks = []
     for block in chunks(names, BLOCK):
-        wide = df.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count(ref(c)).alias(f"p{i}") for i, c in enumerate(block)],
-        )
-        frames.append(
-            wide.select(
-                rows_of(
-                    [
-                        F.struct(
-                            F.lit(c).alias("column"),
-                            F.col("n").alias("rows"),
-                            (F.col("n") - F.col(f"p{i}")).alias("missing"),
-                        )
-                        for i, c in enumerate(block)
-                    ]
-                )
-            )
-        )
-    return union_all(frames)
+        aggregates = {"n": "count(1)", **{f"p{i}": f"count({name_sql(c)})" for i, c in enumerate(block)}}
+        records = [
+            {"column": text_sql(c), "rows": "n", "missing": f"n - p{i}"} for i, c in enumerate(block)
+        ]
+        blocks.append((aggregates, records))
+    return aggregate_rows(df, blocks)
 
 
 def column_facts(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
@@ -94,21 +74,14 @@ def column_facts(df: DataFrame, columns: Sequence[str]) -> dict[str, Row]:
     for block in chunks(columns, BLOCK):
         exprs = []
         for i, name in enumerate(block):
-            c = ref(name)
-            parts = [
-                F.count(F.lit(1)).alias("rows"),
-                F.count(c).alias("present"),
-                (F.min(c) < F.max(c)).alias("varies"),
-            ]
+            c = name_sql(name)
+            parts = {"rows": "count(1)", "present": f"count({c})", "varies": f"min({c}) < max({c})"}
             if ty.is_number_like(ty.dtype_of(df, name)):
-                x = as_number(df, name)
-                parts += [
-                    F.avg(x).alias("mean"),
-                    F.stddev_pop(x).alias("std_pop"),
-                    F.min(x).alias("min"),
-                    F.max(x).alias("max"),
-                ]
-            exprs.append(F.struct(*parts).alias(f"s{i}"))
-        row = df.agg(*exprs).first()
+                x = number_sql(df, name)
+                parts.update(
+                    mean=f"avg({x})", std_pop=f"stddev_pop({x})", min=f"min({x})", max=f"max({x})"
+                )
+            exprs.append(f"{record(parts)} AS s{i}")
+        row = df.selectExpr(*exprs).first()
         facts.update({name: row[i] for i, name in enumerate(block)})
     return facts
