@@ -45,6 +45,11 @@ def query(name: str, source: str, digits: int | dict[str, int] | None = None):
     return register
 
 
+def _verdict_text(df: DataFrame) -> DataFrame:
+    """Verdicts that may be missing, as text."""
+    return df.withColumn("significant", F.col("significant").cast("string"))
+
+
 def _positive_zero(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: ref(c) + F.lit(0.0) for c in columns})
 
@@ -56,7 +61,9 @@ query("quality_profile", "dirty_orders")(quality.quality_profile)
 query("duplicate_count", "dirty_orders")(quality.duplicate_count)
 query("missing_counts", "dirty_orders")(quality.missing_counts)
 query("validate_table", "dirty_orders")(lambda df: quality.validate_table(df).select("check", "passed"))
-query("dedup_full", "dirty_orders")(quality.drop_duplicate_rows)
+query("dedup_full", "dirty_orders")(
+    lambda df: quality.drop_duplicate_rows(df).withColumn("o_custkey", F.col("o_custkey").cast("double"))
+)
 query("dedup_keep_first", "orders")(
     lambda df: quality.keep_first(df, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 )
@@ -214,13 +221,17 @@ query("financial_impact", "priced_orders", {"target_mean": 6, "avg_value": 4, "i
     lambda df: evidence.financial_impact(df, "finished")
 )
 query("evidence_table", "lineitem", 4)(
-    lambda df: evidence.evidence_table(
-        df.withColumn("same", F.lit(1)), "l_extendedprice",
-        ["l_quantity", "l_discount", "l_returnflag", "absent", "same"], "regression",
+    lambda df: _verdict_text(
+        evidence.evidence_table(
+            df.withColumn("same", F.lit(1)), "l_extendedprice",
+            ["l_quantity", "l_discount", "l_returnflag", "absent", "same"], "regression",
+        )
     )
 )
 query("evidence_classes", "labelled_documents", 4)(
-    lambda df: evidence.evidence_table(df, "quality", ["n_chars", "lang", "toxic"], "classification")
+    lambda df: _verdict_text(
+        evidence.evidence_table(df, "quality", ["n_chars", "lang", "toxic"], "classification")
+    )
 )
 query("evidence_text", "labelled_documents")(
     lambda df: evidence.formatted_evidence(
@@ -369,7 +380,7 @@ query("chart_box", "documents", 4)(lambda df: charts.boxes(df, ["n_chars"]))
 query("chart_bar", "part")(lambda df: charts.bars(df, ["p_brand", "p_type"]))
 query("chart_scatter_grid", "lineitem")(lambda df: charts.scatter_grids(df, [("l_quantity", "l_extendedprice")]))
 query("chart_line_day", "events", 4)(lambda df: charts.lines(df, [("ts", "value")]))
-query("chart_batch", "orders", 4)(lambda df: charts.chart_batch(df, quality.column_roles(df)))
+query("chart_batch", "orders", 7)(lambda df: charts.chart_batch(df, quality.column_roles(df)))
 
 # --- run log, pipelines --------------------------------------------------
 
@@ -381,7 +392,7 @@ query("clean_pipeline", "dirty_orders")(lambda df: clean(df, "o_orderstatus", ke
 query("clean_log", "dirty_orders")(lambda df: clean(df, "o_orderstatus", keys=["o_orderkey"]).log())
 
 
-@query("profile_pipeline", "orders")
+@query("profile_pipeline", "orders", 6)
 def _profile(df: DataFrame) -> DataFrame:
     """The profile's numeric results as (section, item, value)."""
     found = profile(df, "o_totalprice")
@@ -397,7 +408,7 @@ def _profile(df: DataFrame) -> DataFrame:
         ),
         found["anova"].select(F.lit("anova").alias("section"), F.col("feature").alias("item"), F.col("p_value").alias("value")),
     ]
-    return union_all(parts)
+    return _positive_zero(union_all(parts), "value")
 
 
 query("model_pipeline", "wide_lineitem")(
