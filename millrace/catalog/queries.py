@@ -304,46 +304,38 @@ def _linear(df: DataFrame) -> DataFrame:
 
 @query("logistic_baseline", "wide_lineitem")
 def _logistic(df: DataFrame) -> DataFrame:
-    split = modelling.with_split(df, ["l_orderkey", "l_linenumber", "l_extendedprice"])
-    fitted = modelling.train_baseline(
-        split.filter("split = 'train'"), ["l_quantity", "l_discount", "l_tax"], "target", "classification"
-    )
-    return modelling.classification_metrics(modelling.score(fitted, split.filter("split = 'test'")), "target")
-
-
-def _documents(df: DataFrame) -> DataFrame:
-    return cleaning.one_hot(df, ["lang", "source"])
+    train, test = modelling.staged_split(df, ["l_orderkey", "l_linenumber", "l_extendedprice"])
+    fitted = modelling.train_baseline(train, ["l_quantity", "l_discount", "l_tax"], "target", "classification")
+    return modelling.classification_metrics(modelling.score(fitted, test), "target")
 
 
-def _document_features(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in ("doc_id", "quality")]
+def _flat_documents(df: DataFrame, label: str) -> tuple[DataFrame, list[str]]:
+    flat = cleaning.one_hot(df, ["lang", "source"])
+    return flat, [c for c in flat.columns if c not in ("doc_id", label)]
 
 
 @query("forest_classifier", "labelled_documents")
 def _forest_classifier(df: DataFrame) -> DataFrame:
-    split = modelling.with_split(_documents(df), ["doc_id"])
-    fitted = modelling.train_forest(
-        split.filter("split = 'train'"), _document_features(_documents(df)), "quality", "classification"
-    )
-    return modelling.classification_metrics(modelling.score(fitted, split.filter("split = 'test'")), "quality")
+    flat, feats = _flat_documents(df, "quality")
+    train, test = modelling.staged_split(flat, ["doc_id"])
+    fitted = modelling.train_forest(train, feats, "quality", "classification")
+    return modelling.classification_metrics(modelling.score(fitted, test), "quality")
 
 
 @query("forest_regressor", "labelled_documents")
 def _forest_regressor(df: DataFrame) -> DataFrame:
-    flat = cleaning.one_hot(df, ["lang", "source"])
-    split = modelling.with_split(flat, ["doc_id"])
-    feats = [c for c in flat.columns if c not in ("doc_id", "n_chars")]
-    fitted = modelling.train_forest(split.filter("split = 'train'"), feats, "n_chars", "regression")
-    return modelling.regression_metrics(modelling.score(fitted, split.filter("split = 'test'")), "n_chars")
+    flat, feats = _flat_documents(df, "n_chars")
+    train, test = modelling.staged_split(flat, ["doc_id"])
+    fitted = modelling.train_forest(train, feats, "n_chars", "regression")
+    return modelling.regression_metrics(modelling.score(fitted, test), "n_chars")
 
 
 @query("tuned_model", "labelled_documents")
 def _tuned(df: DataFrame) -> DataFrame:
-    split = modelling.with_split(_documents(df), ["doc_id"])
-    fitted = modelling.train_tuned(
-        split.filter("split = 'train'"), _document_features(_documents(df)), "quality", "classification"
-    )
-    return modelling.classification_metrics(modelling.score(fitted, split.filter("split = 'test'")), "quality")
+    flat, feats = _flat_documents(df, "quality")
+    train, test = modelling.staged_split(flat, ["doc_id"])
+    fitted = modelling.train_tuned(train, feats, "quality", "classification")
+    return modelling.classification_metrics(modelling.score(fitted, test), "quality")
 
 
 @query("score_batch", "lineitem")
@@ -355,19 +347,16 @@ def _score(df: DataFrame) -> DataFrame:
 
 @query("perm_importance", "lineitem")
 def _permuted(df: DataFrame) -> DataFrame:
-    flat = _line_features(df)
     keys = ["l_orderkey", "l_linenumber", "l_extendedprice"]
-    split = modelling.with_split(flat, keys)
-    fitted = modelling.train_baseline(
-        split.filter("split = 'train'"), ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "regression"
-    )
-    return modelling.ranked_importance(fitted, split.filter("split = 'test'"), keys)
+    train, test = modelling.staged_split(_line_features(df), keys)
+    fitted = modelling.train_baseline(train, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "regression")
+    return modelling.ranked_importance(fitted, test, keys)
 
 
 @query("intrinsic_importance", "labelled_documents")
 def _intrinsic(df: DataFrame) -> DataFrame:
-    flat = _documents(df)
-    fitted = modelling.train_forest(flat, _document_features(flat), "quality", "classification")
+    flat, feats = _flat_documents(df, "quality")
+    fitted = modelling.train_forest(flat, feats, "quality", "classification")
     return df.sparkSession.createDataFrame(modelling.intrinsic_importance(fitted), "feature string, importance double")
 
 

@@ -294,17 +294,39 @@ def encode_target(df: DataFrame, target: str, max_literal: int = 1000) -> Encode
             return EncodedTarget(df.withColumn(target, F.lit(None).cast("bigint")), coded)
         lookup = F.create_map(*[F.lit(x).cast(k) for v, i in pairs for x, k in ((v, kind), (i, "bigint"))])
         return EncodedTarget(df.withColumn(target, F.try_element_at(lookup, filled)), coded)
-    ranked = classes.orderBy("value").rdd.zipWithIndex().map(lambda p: (p[0][0], p[1]))
-    coded = spark.createDataFrame(
-        ranked, T.StructType([T.StructField("value", kind), T.StructField("code", T.LongType())])
-    )
-    joined = df.withColumn("__class", filled).join(
-        coded.withColumnsRenamed({"value": "__class", "code": "__code"}), "__class", "left"
-    )
+    coded = ranked_codes(classes, "value")
+    joined = join_codes(df.withColumn("__class", filled), "__class", coded)
     table = joined.select(*[F.col("__code").alias(target) if x == target else ref(x) for x in df.columns])
     return EncodedTarget(table, coded)
 
 
+def ranked_codes(classes: DataFrame, column: str) -> DataFrame:
+    """(value, code): the distinct values numbered in sorted order by a range sort."""
+    kind = ty.dtype_of(classes, column)
+    numbered = classes.select(ref(column)).orderBy(ref(column)).rdd.zipWithIndex().map(lambda p: (p[0][0], p[1]))
+    return classes.sparkSession.createDataFrame(
+        numbered, T.StructType([T.StructField("value", kind), T.StructField("code", T.LongType())])
+    )
+
+
+BROADCAST_CODES = 200_000
+CODE_SALTS = 64
+
+
+def join_codes(df: DataFrame, column: str, coded: DataFrame) -> DataFrame:
+    """Add ``__code`` by value.
+
+    A counted small lookup is broadcast.  A large one is repeated over a few
+    salts, so the rows of a very frequent value spread over that many tasks.
+    """
+    lookup = coded.select(F.col("value").alias(column), F.col("code").alias("__code"))
+    if coded.count() <= BROADCAST_CODES:
+        return df.join(F.broadcast(lookup), column, "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(CODE_SALTS - 1))).alias("__salt")
+    salted = df.withColumn("__salt", (F.rand(7) * CODE_SALTS).cast("int"))
+    return salted.join(lookup.select("*", salts), [column, "__salt"], "left").drop("__salt")
+
+
 def category_values(df: DataFrame, column: str, limit: int) -> list[str] | None:
     """Sorted distinct values, or None when there are more than ``limit``."""
     got = df.select(ref(column)).filter(ref(column).isNotNull()).distinct().limit(limit + 1).collect()
@@ -335,17 +357,22 @@ def one_hot(
 
 
 def _sparse_one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-
-    # Descending order puts the first sorted category last, the one dropped;
-    # a missing value gets an index of its own, which is dropped by 'keep'.
-    codes = [f"__{c}_code" for c in columns]
-    stages = [
-        StringIndexer(inputCols=list(columns), outputCols=codes, stringOrderType="alphabetDesc", handleInvalid="keep"),
-        OneHotEncoder(inputCols=codes, outputCols=[f"{c}_onehot" for c in columns], dropLast=True),
-    ]
-    return Pipeline(stages=stages).fit(df).transform(df).drop(*codes, *columns)
+    """Vector columns; the category list stays distributed.
+
+    Codes count down from the last category, so the first category and the
+    missing value share the last code, which the encoder leaves all zero.
+    """
+    from pyspark.ml.feature import OneHotEncoder
+
+    out = df
+    for c in columns:
+        coded = ranked_codes(df.select(ref(c)).filter(ref(c).isNotNull()).distinct(), c)
+        last = coded.count() - 1
+        down = F.coalesce(F.lit(last) - F.col("__code"), F.lit(last)).cast("double")
+        joined = join_codes(out, c, coded).withColumn("__index", down).drop("__code", c)
+        encoder = OneHotEncoder(inputCol="__index", outputCol=f"{c}_onehot", dropLast=True)
+        out = encoder.fit(joined).transform(joined).drop("__index")
+    return out
 
 
 def scale(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from millrace.functions import types as ty
 from millrace.functions.expressions import ratio, rows_of
 from millrace.functions.types import ref
+from millrace.sources.sinks import stage
 
 # Settings and limits that results must agree on.
 TEST_SHARE = 0.2
@@ -29,6 +30,8 @@ FOREST_TREES = 200
 FOREST_DEPTH = 10
 FOREST_MIN_LEAF = 3
 IMPORTANCE_REPEATS = 3
+# Node statistics per pass; more memory means fewer passes over the rows.
+FOREST_MEMORY_MB = 1024
 GUESSING_ACCURACY = 0.55
 
 
@@ -40,26 +43,37 @@ def _order_key(keys: Sequence[str], seed: int) -> Column:
     return F.md5(text.cast("binary"))
 
 
-def split_threshold(df: DataFrame, keys: Sequence[str], count: int, seed: int) -> str | None:
-    """The ``count``-th smallest hash key.
+def split_threshold(
+    df: DataFrame, keys: Sequence[str], share: float, seed: int, rank_limit: int = 10_000
+) -> str | None:
+    """The hash key of rank ceil(share * rows), counted from the smallest.
 
-    Two prefix histograms (65,536 groups each) find the short range holding
-    it; only the handful of keys in that range is ranked.
+    A histogram over four hex digits (65,536 groups at most) gives the row
+    count and the prefix holding the rank.  While that prefix holds more than
+    ``rank_limit`` rows, four more digits are looked at; then only the few
+    keys below it are ranked.
     """
-    if count <= 0:
-        return None
     hashed = df.select(_order_key(keys, seed).alias("h"))
-    prefix, left = "", count
-    for length in (4, 8):
+    prefix, left = "", None
+    while len(prefix) < 32:
+        digits = F.substring("h", len(prefix) + 1, 4)
         counts = (
-            hashed.filter(F.col("h").startswith(prefix)).groupBy(F.substring("h", 1, length).alias("p"))
+            hashed.filter(F.col("h").startswith(prefix)).groupBy(digits.alias("p"))
             .agg(F.count(F.lit(1)).alias("c"))
         )
-        # At most 16^4 prefixes share one leading part, so this window is small.
-        running = counts.withColumn("upto", F.sum("c").over(Window.partitionBy(F.substring("p", 1, length - 4)).orderBy("p")))
-        hit = running.filter(F.col("upto") >= left).orderBy("p").first()
-        prefix, left = hit["p"], left - (hit["upto"] - hit["c"])
-    within = hashed.filter(F.col("h").startswith(prefix)).orderBy("h").limit(left)
+        # At most 16^4 rows, so one small window over all of them.
+        whole = Window.orderBy("p")
+        running = counts.withColumn("upto", F.sum("c").over(whole)).withColumn(
+            "total", F.sum("c").over(whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        )
+        wanted = F.ceil(F.lit(share) * F.col("total")) if left is None else F.lit(left)
+        hit = running.withColumn("want", wanted).filter("upto >= want and want > 0").orderBy("p").first()
+        if hit is None:
+            return None
+        prefix, left = prefix + hit["p"], hit["want"] - (hit["upto"] - hit["c"])
+        if hit["c"] <= rank_limit:
+            break
+    within = hashed.filter(F.col("h").startswith(prefix)).orderBy("h").limit(int(left))
     return within.agg(F.max("h")).first()[0]
 
 
@@ -71,12 +85,23 @@ def with_split(
     ``keys`` must identify a row.  The rows are not moved: each compares its
     own hash with one literal.
     """
-    cut = split_threshold(df, keys, math.ceil(test_share * df.count()), seed)
-    key = _order_key(keys, seed)
-    is_test = F.lit(False) if cut is None else key <= F.lit(cut)
+    cut = split_threshold(df, keys, test_share, seed)
+    is_test = F.lit(False) if cut is None else _order_key(keys, seed) <= F.lit(cut)
     return df.withColumn("split", F.when(is_test, "test").otherwise("train"))
 
 
+def staged_split(
+    df: DataFrame, keys: Sequence[str], test_share: float = TEST_SHARE, seed: int = SEED
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test), written once to the shared folder.
+
+    Training reads its rows many times; files make each pass cheap and safe
+    against lost executors.
+    """
+    parts = stage(with_split(df, keys, test_share, seed), "split", rows=df.count())
+    return tuple(parts.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
+
+
 def quick_split(df: DataFrame, test_share: float = TEST_SHARE, seed: int = SEED) -> list[DataFrame]:
     """[train, test] of about the wanted sizes."""
     return df.randomSplit([1.0 - test_share, test_share], seed)
@@ -147,7 +172,7 @@ def train_forest(
     """Random forest; classes are weighted to balance."""
     common = dict(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth,
-        minInstancesPerNode=FOREST_MIN_LEAF, seed=seed,
+        minInstancesPerNode=FOREST_MIN_LEAF, seed=seed, maxMemoryInMB=FOREST_MEMORY_MB,
     )
     if problem_type == "classification":
         train = with_class_weights(train, label)
@@ -323,7 +348,7 @@ def _donor_rows(df: DataFrame, keys: Sequence[str], seed: int, rows_per_bucket:
 
 def permutation_importance(
     trained: Trained, test: DataFrame, keys: Sequence[str], repeats: int = IMPORTANCE_REPEATS,
-    seed: int = SEED, rows_per_bucket: int = 100_000,
+    seed: int = SEED, rows_per_bucket: int = 10_000,
 ) -> DataFrame:
     """(feature, importance, std): mean drop of accuracy or R2 when permuted.
 

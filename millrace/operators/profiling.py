@@ -8,34 +8,54 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import types as ty
-from millrace.functions.expressions import ratio, rows_of
+from millrace.functions.expressions import chunks, rows_of
+from millrace.functions.sqltext import aggregate_rows, name_sql, number_sql, text_sql
 from millrace.functions.types import as_number, ref
 from millrace.operators.contingency import group_moments
 from millrace.operators.frequency import distinct_counts
 from millrace.operators.moments import target_correlations
 from millrace.operators.quantiles import column_quantiles
-from millrace.operators.summary import column_facts, numeric_summary, presence
+from millrace.operators.summary import BLOCK, column_facts, sample_skew_sql
 
 
 def univariate(df: DataFrame) -> DataFrame:
     """(column, missing_pct, n_unique, mean, std, min, max, skew).
 
     missing_pct is a fraction; the moments are NULL for non-numeric columns.
-    All three inputs hold one row per column, so the joins are broadcasts of
-    a few rows.
+    Both sides of the join hold one row per column.
     """
     ty.require_flat(df)
-    missing = presence(df).select(
-        "column", ratio(F.col("missing"), F.col("rows")).alias("missing_pct")
+    known = distinct_counts(df)
+    return (
+        _column_moments(df)
+        .join(F.broadcast(known), "column", "left")
+        .select(
+            "column", "missing_pct", F.coalesce("n_unique", F.lit(0)).cast("bigint").alias("n_unique"),
+            "mean", "std", "min", "max", "skew",
+        )
     )
-    out = missing.join(F.broadcast(distinct_counts(df)), "column", "left").withColumn(
-        "n_unique", F.coalesce("n_unique", F.lit(0)).cast("bigint")
-    )
-    if not ty.number_columns(df):
-        none = F.lit(None).cast("double")
-        return out.withColumns({c: none for c in ("mean", "std", "min", "max", "skew")})
-    moments = numeric_summary(df, skew=True).select("column", "mean", "std", "min", "max", "skew")
-    return out.join(F.broadcast(moments), "column", "left")
+
+
+def _column_moments(df: DataFrame) -> DataFrame:
+    """(column, missing_pct, mean, std, min, max, skew), one scan per block."""
+    blocks = []
+    for block in chunks(df.columns, BLOCK):
+        aggregates, records = {"rows": "count(1)"}, []
+        for i, c in enumerate(block):
+            aggregates[f"p{i}"] = f"count({name_sql(c)})"
+            row = {"column": text_sql(c), "missing_pct": f"try_divide(cast(rows - p{i} AS double), rows)"}
+            parts = dict.fromkeys(("mean", "std", "min", "max", "skew"), "cast(NULL AS double)")
+            if ty.is_number(ty.dtype_of(df, c)):
+                x = number_sql(df, c)
+                found = {
+                    "mean": f"avg({x})", "std": f"stddev_samp({x})", "min": f"min({x})",
+                    "max": f"max({x})", "skew": sample_skew_sql(x),
+                }
+                aggregates.update({f"{k}{i}": v for k, v in found.items()})
+                parts = {k: f"{k}{i}" for k in found}
+            records.append({**row, **parts})
+        blocks.append((aggregates, records))
+    return aggregate_rows(df, blocks)
 
 
 def category_number_stats(

@@ -1,124 +1,157 @@
 """Exact quantiles with linear interpolation, at any table size.
 
-Small columns use Spark's exact ``percentile``, whose state is one map entry
-per distinct value.  Larger columns are narrowed first: a mergeable sketch
-brackets the wanted rank, one counting pass tells exactly where in the bracket
-the rank lies, and the search goes on in the open interval between the two
-ends.  An end that holds very many equal rows ends the search at once, so heavy
-ties cannot stall it.  Only a few scalars per column reach the driver.
+Columns of few rows use Spark's exact ``percentile``, whose state is one map
+entry per distinct value.  Larger columns are narrowed in rounds: a mergeable
+sketch proposes edges around the wanted ranks, and one counting pass tells
+between (or at) which edges each rank lies.  A rank that falls on an edge is
+settled at once, so heavy ties cannot stall the search; otherwise the open
+interval between two edges, a few ten-thousandths of the last one, is searched
+next.  When an interval holds few rows, its values are counted and the rank
+read off.  Only counts per edge and those few values reach the driver.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
+from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from millrace.functions.expressions import chunks
-from millrace.functions.types import as_number, ref
+from millrace.functions.sqltext import double_sql, inline, number_sql, record
 
-DIRECT_LIMIT = 1_000_000
+DIRECT_LIMIT = 100_000
+FINAL_LIMIT = 2_000
 ACCURACY = 10_000
 
 
-@dataclass
-class _Search:
-    """One order statistic: the 0-based ``rank`` of ``column``.
-
-    ``before`` rows are at or below ``low``; ``mass`` rows lie strictly
-    between ``low`` and ``high``.
-    """
+@dataclass(frozen=True)
+class _Gap:
+    """An open interval of values and the rows below and inside it."""
 
-    column: str
-    rank: int
-    mass: int
+    low: float = -math.inf
+    high: float = math.inf
     before: int = 0
-    low: float | None = None
-    high: float | None = None
-    value: float | None = None
+    mass: int = 0
+
+    def condition(self, c: str) -> str:
+        tests = [f"{c} IS NOT NULL"]
+        if self.low > -math.inf:
+            tests.append(f"{c} > {double_sql(self.low)}")
+        if self.high < math.inf:
+            tests.append(f"{c} < {double_sql(self.high)}")
+        return " AND ".join(tests)
+
+
+@dataclass
+class _Column:
+    """The ranks still sought in one column, by the gap that holds them."""
+
+    slot: str
+    open: dict[_Gap, list[int]] = field(default_factory=dict)
+    found: dict[int, float] = field(default_factory=dict)
 
-    def inside(self, c: Column) -> Column:
-        keep = c.isNotNull()
-        if self.low is not None:
-            keep = keep & (c > F.lit(self.low))
-        if self.high is not None:
-            keep = keep & (c < F.lit(self.high))
-        return keep
+    def place(self, rank: int, gap: _Gap) -> None:
+        self.open.setdefault(gap, []).append(rank)
 
 
-def _scalars(df: DataFrame, exprs: list[Column]) -> list:
+def _row(df: DataFrame, exprs: Sequence[str]) -> list:
     values: list = []
-    for block in chunks(exprs, 120):
-        values += list(df.agg(*[e.alias(f"e{i}") for i, e in enumerate(block)]).first())
+    for block in chunks(exprs, 200):
+        values += list(df.selectExpr(*[f"{e} AS e{i}" for i, e in enumerate(block)]).first())
     return values
 
 
-def _narrow(df: DataFrame, open_: list[_Search], accuracy: int) -> None:
+def _edges(df: DataFrame, columns: Sequence[_Column], accuracy: int) -> list[list[float]]:
+    """Per column, sorted edges around the ranks sought."""
     slack = 2.0 / accuracy
-    sketches = []
-    for s in open_:
-        c = ref(s.column)
-        q = (s.rank - s.before + 0.5) / s.mass
-        probs = F.array(F.lit(max(0.0, q - slack)), F.lit(min(1.0, q + slack)))
-        sketches.append(
-            F.percentile_approx(F.when(s.inside(c), c), probs, F.lit(accuracy))
+    asked, owners = [], []
+    for i, col in enumerate(columns):
+        for gap, ranks in col.open.items():
+            probs: list[float] = []
+            for r in ranks:
+                q = (r - gap.before + 0.5) / gap.mass
+                probs += [max(0.0, q - slack), min(1.0, q + slack)]
+            inside = f"CASE WHEN {gap.condition(col.slot)} THEN {col.slot} END"
+            listed = ", ".join(double_sql(p) for p in probs)
+            asked.append(f"percentile_approx({inside}, array({listed}), {accuracy})")
+            owners.append((i, gap))
+    edges: list[set[float]] = [set() for _ in columns]
+    for (i, gap), got in zip(owners, _row(df, asked)):
+        edges[i].update(got)
+        edges[i].update(v for v in (gap.low, gap.high) if not math.isinf(v))
+    return [sorted(e) for e in edges]
+
+
+def _counts(df: DataFrame, columns: Sequence[_Column], edges: Sequence[list[float]]) -> list[dict[int, int]]:
+    """Rows per column and position: 2i between edges i-1 and i, 2i+1 at edge i."""
+    records = []
+    for i, (col, cuts) in enumerate(zip(columns, edges)):
+        listed = [double_sql(e) for e in cuts]
+        above = " + ".join(f"int({col.slot} > {e})" for e in listed)
+        records.append(
+            record({"c": str(i), "at": f"2 * ({above}) + int({col.slot} IN ({', '.join(listed)}))"})
         )
-    brackets = _scalars(df, sketches)
-    counts = []
-    for s, (lo, hi) in zip(open_, brackets):
-        c, keep = ref(s.column), s.inside(ref(s.column))
-        counts += [
-            F.count_if(keep & (c < lo)),
-            F.count_if(keep & (c == lo)),
-            F.count_if(keep & (c > lo) & (c < hi)),
-            F.count_if(keep & (c == hi)),
-        ]
-    seen = _scalars(df, counts)
-    for i, (s, (lo, hi)) in enumerate(zip(open_, brackets)):
-        below, at_lo, between, at_hi = seen[4 * i : 4 * i + 4]
-        if lo == hi:
-            at_hi = 0
-        at = s.rank - s.before
-        if at < below:
-            s.high, s.mass = lo, below
-        elif at < below + at_lo:
-            s.value = lo
-        elif at < below + at_lo + between:
-            s.low, s.high = lo, hi
-            s.before, s.mass = s.before + below + at_lo, between
-        elif at < below + at_lo + between + at_hi:
-            s.value = hi
-        else:
-            rest = below + at_lo + between + at_hi
-            s.low, s.before, s.mass = hi, s.before + rest, s.mass - rest
-
-
-def _select(df: DataFrame, searches: list[_Search], limit: int, accuracy: int) -> None:
+    rows = df.selectExpr(inline(records)).filter("at IS NOT NULL").groupBy("c", "at").count().collect()
+    out: list[dict[int, int]] = [{} for _ in columns]
+    for r in rows:
+        out[r["c"]][r["at"]] = r["count"]
+    return out
+
+
+def _narrow(df: DataFrame, columns: Sequence[_Column], accuracy: int) -> None:
+    edges = _edges(df, columns, accuracy)
+    for col, cuts, counts in zip(columns, edges, _counts(df, columns, edges)):
+        ranks = [r for rs in col.open.values() for r in rs]
+        col.open = {}
+        bounds = [-math.inf, *cuts, math.inf]
+        for rank in ranks:
+            before = 0
+            for at in range(2 * len(cuts) + 1):
+                here = counts.get(at, 0)
+                if rank < before + here:
+                    break
+                before += here
+            if at % 2:
+                col.found[rank] = cuts[at // 2]
+            else:
+                col.place(rank, _Gap(bounds[at // 2], bounds[at // 2 + 1], before, here))
+
+
+def _read_off(df: DataFrame, columns: Sequence[_Column]) -> None:
+    """Settle ranks in gaps of few rows from the counted values there."""
+    records = []
+    for i, col in enumerate(columns):
+        inside = " OR ".join(f"({g.condition(col.slot)})" for g in col.open)
+        records.append(record({"c": str(i), "v": f"CASE WHEN {inside} THEN {col.slot} END"}))
+    rows = df.selectExpr(inline(records)).filter("v IS NOT NULL").groupBy("c", "v").count().collect()
+    values: dict[int, list[tuple[float, int]]] = defaultdict(list)
+    for r in sorted(rows, key=lambda r: (r["c"], r["v"])):
+        values[r["c"]].append((r["v"], r["count"]))
+    for i, col in enumerate(columns):
+        for gap, ranks in col.open.items():
+            inside = [(v, n) for v, n in values[i] if gap.low < v < gap.high]
+            upto, total = [], gap.before
+            for _, n in inside:
+                total += n
+                upto.append(total)
+            for rank in ranks:
+                col.found[rank] = inside[bisect_left(upto, rank + 1)][0]
+        col.open = {}
+
+
+def _select(df: DataFrame, columns: Sequence[_Column], accuracy: int, final_limit: int) -> None:
     while True:
-        open_ = [s for s in searches if s.value is None and s.mass > limit]
-        if not open_:
+        wide = [c for c in columns if any(g.mass > final_limit for g in c.open)]
+        if not wide:
             break
-        _narrow(df, open_, accuracy)
-    last = [s for s in searches if s.value is None]
-    picks = []
-    for i, s in enumerate(last):
-        c = ref(s.column)
-        # (rank + 1/2) / mass falls between two cumulative fractions, so the
-        # discrete percentile returns exactly the element of that rank.
-        p = (s.rank - s.before + 0.5) / s.mass
-        inner = F.when(s.inside(c), c)
-        picks.append((inner, p))
-    if picks:
-        held = df.select(*[c.alias(f"v{i}") for i, (c, _) in enumerate(picks)])
-        exprs = [
-            F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY v{i})")
-            for i, (_, p) in enumerate(picks)
-        ]
-        for s, v in zip(last, _scalars(held, exprs)):
-            s.value = v
+        _narrow(df, wide, accuracy)
+    left = [c for c in columns if c.open]
+    if left:
+        _read_off(df, left)
 
 
 def column_quantiles(
@@ -127,37 +160,32 @@ def column_quantiles(
     probs: Sequence[float],
     direct_limit: int = DIRECT_LIMIT,
     accuracy: int = ACCURACY,
+    final_limit: int = FINAL_LIMIT,
 ) -> dict[str, list[float | None]]:
     """Per column the exact quantiles at ``probs``; None for an empty column."""
-    columns, probs = list(columns), [float(p) for p in probs]
-    if not columns:
+    names, probs = list(columns), [float(p) for p in probs]
+    if not names:
         return {}
-    numbers = df.select(*[as_number(df, c).alias(c) for c in columns])
-    present = dict(zip(columns, _scalars(numbers, [F.count(ref(c)) for c in columns])))
-    big = [c for c in columns if present[c] > direct_limit]
-    if big:
-        # The sketch may read low, so only clearly small columns go direct.
-        spread = _scalars(numbers, [F.approx_count_distinct(ref(c), 0.02) for c in big])
-        big = [c for c, d in zip(big, spread) if d > direct_limit // 2]
-    direct = [c for c in columns if c not in big]
+    slots = {c: f"c{i}" for i, c in enumerate(names)}
+    numbers = df.selectExpr(*[f"{number_sql(df, c)} AS {slots[c]}" for c in names])
+    present = dict(zip(names, _row(numbers, [f"count({s})" for s in slots.values()])))
     out: dict[str, list[float | None]] = {}
-    if direct:
-        ask = F.array(*[F.lit(p) for p in probs])
-        got = _scalars(numbers, [F.percentile(ref(c), ask) for c in direct])
-        out.update({c: list(v) if v is not None else [None] * len(probs) for c, v in zip(direct, got)})
-    searches: dict[tuple[str, int], _Search] = {}
-    for c in big:
-        for p in probs:
-            at = p * (present[c] - 1)
-            for rank in {math.floor(at), math.ceil(at)}:
-                searches.setdefault((c, rank), _Search(c, rank, present[c]))
-    if searches:
-        _select(numbers, list(searches.values()), direct_limit, accuracy)
-    for c in big:
+    small = [c for c in names if present[c] <= direct_limit]
+    if small:
+        listed = ", ".join(double_sql(p) for p in probs)
+        for c, v in zip(small, _row(numbers, [f"percentile({slots[c]}, array({listed}))" for c in small])):
+            out[c] = list(v) if v is not None else [None] * len(probs)
+    big = {c: _Column(slots[c]) for c in names if c not in small}
+    for c, col in big.items():
+        ranks = {f(p * (present[c] - 1)) for p in probs for f in (math.floor, math.ceil)}
+        for rank in sorted(ranks):
+            col.place(rank, _Gap(mass=present[c]))
+    if big:
+        _select(numbers, list(big.values()), accuracy, final_limit)
+    for c, col in big.items():
         out[c] = []
         for p in probs:
             at = p * (present[c] - 1)
-            lo = searches[c, math.floor(at)].value
-            hi = searches[c, math.ceil(at)].value
+            lo, hi = col.found[math.floor(at)], col.found[math.ceil(at)]
             out[c].append(lo + (hi - lo) * (at - math.floor(at)))
     return out

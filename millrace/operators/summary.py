@@ -42,7 +42,7 @@ def numeric_summary(
             x = number_sql(df, c)
             parts = {
                 "present": f"count({x})", "mean": f"avg({x})", "std": f"stddev_samp({x})",
-                "std_pop": f"stddev_pop({x})", "min": f"min({x})", "max": f"max({x})",
+                "std_pop": f"CASE WHEN count({x}) = 1 THEN 0.0D ELSE stddev_samp({x}) * sqrt((count({x}) - 1) / count({x})) END", "min": f"min({x})", "max": f"max({x})",
             }
             if skew:
                 parts["skew"] = sample_skew_sql(x)

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from millrace.functions import types as ty
 from millrace.functions.types import ref
@@ -107,10 +106,12 @@ def clean(
     filled = prepare(df, schema, actions)
     outliers = quality.iqr_outliers(filled)
     actions += [("outliers", r["column"], r["cnt"]) for r in outliers.collect()]
-    unique = quality.drop_duplicate_rows(filled)
-    varied = cl.drop_constant(unique)
-    actions += [("drop_constant", c, None) for c in unique.columns if c not in varied.columns]
-    tidy = cl.standardize_text(varied)
+    # Repeats do not decide whether a column varies, so constants are found
+    # before the rows are shuffled for duplicate removal, and duplicates by
+    # the remaining columns are the same rows.
+    varied = cl.drop_constant(filled)
+    actions += [("drop_constant", c, None) for c in filled.columns if c not in varied.columns]
+    tidy = cl.standardize_text(quality.drop_duplicate_rows(varied))
     actions += [("standardize_text", c, None) for c in ty.text_columns(tidy)]
     violations = None
     if rules and rules_stage == "raw":
@@ -151,4 +152,4 @@ def clean(
 def clean_steps(df: DataFrame, schema: Mapping | None = None) -> DataFrame:
     """The readable cleaned table alone, without staging."""
     filled = prepare(df, schema, [])
-    return cl.standardize_text(cl.drop_constant(quality.drop_duplicate_rows(filled)))
+    return cl.standardize_text(quality.drop_duplicate_rows(cl.drop_constant(filled)))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import types as ty
+from millrace.functions.types import ref
 from millrace.operators import modelling as m
 from millrace.operators.quality import problem_types
 from millrace.operators.screening import Selection, select_features
@@ -81,13 +82,11 @@ def model(
     if not keys:
         df = stage(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
         keys = [_ROW]
-    df = df.filter(F.col(target).isNotNull())
+    df = df.filter(ref(target).isNotNull())
     chosen = select_features(df, target, keys)
     if not chosen.features:
         raise ValueError("no features left after selection")
-    parts = stage(m.with_split(chosen.table, keys, test_share, seed), "split")
-    train = parts.filter("split = 'train'").drop("split")
-    test = parts.filter("split = 'test'").drop("split")
+    train, test = m.staged_split(chosen.table, keys, test_share, seed)
     baseline = m.train_baseline(train, chosen.features, target, problem_type)
     if challenger == "forest":
         rival = m.train_forest(train, chosen.features, target, problem_type, trees=trees, seed=seed)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import math
+import shutil
 import tempfile
 import uuid
 
@@ -10,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+MIN_FILE_ROWS = 20_000
+
 RUN_LOG = (
     "run_id string, file_type string, status string, rows_before bigint, rows_after bigint, "
     "duplicates_before bigint, duplicates_after bigint, missing_before bigint, missing_after bigint, "
@@ -97,17 +102,24 @@ def staging_root(spark: SparkSession) -> str:
     if not (spark.conf.get("spark.master", "") or "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     made = tempfile.mkdtemp(prefix="millrace-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", made)
     return made
 
 
-def stage(df: DataFrame, name: str = "table") -> DataFrame:
+def stage(df: DataFrame, name: str = "table", rows: int | None = None) -> DataFrame:
     """Write the table to the shared folder and read it back.
 
     Later passes start from the files, so neither a long plan nor a lost
-    executor makes the earlier steps run again.
+    executor makes the earlier steps run again.  With the row count known, a
+    table of few partitions is cut into enough files to keep all cores busy;
+    a large one is not affected.
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/millrace/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write
+    if rows is not None:
+        cores = spark.sparkContext.defaultParallelism
+        writer = writer.option("maxRecordsPerFile", max(MIN_FILE_ROWS, math.ceil(rows / cores)))
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
