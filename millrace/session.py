@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared_dir: str | None = None
+) -> SparkSession:
     """For tests and the bench.  On a cluster, pass your own session in."""
+    builder = SparkSession.builder
+    if shared_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", shared_dir)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("millrace")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)

@@ -7,6 +7,7 @@ import math
 import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -91,6 +92,13 @@ def latest_runs(log: DataFrame, key: str = "run_id", at: str = "ended_at", tie:
     return log.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
 
 
+@cache
+def _local_root() -> str:
+    made = tempfile.mkdtemp(prefix="millrace-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
+    return made
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
 
@@ -101,10 +109,7 @@ def staging_root(spark: SparkSession) -> str:
         return found
     if not (spark.conf.get("spark.master", "") or "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="millrace-")
-    atexit.register(shutil.rmtree, made, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_root()
 
 
 def stage(df: DataFrame, name: str = "table", rows: int | None = None) -> DataFrame:
