@@ -406,9 +406,9 @@ def _t_p(t: str, dof: str) -> str:
     return _beta(f"({t} * {t} / ({dof} + {t} * {t}))", "0.5", f"({dof} / 2.0)")
 
 
-def _welch(table: str, value: str, by: str, feature: str) -> str:
-    return f"""SELECT '{feature}' AS feature, round(t, 6) AS t, round(dof, 6) AS dof,
-  round({_t_p("t", "dof")}, 6) AS p_value, {_t_p("t", "dof")} < 0.05 AS significant
+def _welch(table: str, value: str, by: str, feature: str, digits: int = 6) -> str:
+    return f"""SELECT '{feature}' AS feature, round(t, {digits}) AS t, round(dof, {digits}) AS dof,
+  round({_t_p("t", "dof")}, {digits}) AS p_value, {_t_p("t", "dof")} < 0.05 AS significant
 FROM (SELECT (m[1] - m[2]) / sqrt(s[1] + s[2]) AS t,
     pow(s[1] + s[2], 2) / (pow(s[1], 2) / (n[1] - 1) + pow(s[2], 2) / (n[2] - 1)) AS dof
   FROM (SELECT list(m ORDER BY k) AS m, list(v / n ORDER BY k) AS s, list(n ORDER BY k) AS n
@@ -435,8 +435,8 @@ ORACLE["class_balance"] = """SELECT class, cnt, round(share, 6) AS share, round(
 FROM (SELECT event_type AS class, count(*) AS cnt, count(*) / (SELECT count(*) FROM events) AS share FROM events GROUP BY event_type)"""
 
 
-def _chi2_test(table: str, feature: str, target: str) -> str:
-    return f"""SELECT '{feature}' AS feature, round(chi2, 6) AS chi2, dof, round({_gamma("chi2", "dof")}, 6) AS p_value,
+def _chi2_test(table: str, feature: str, target: str, digits: int = 6) -> str:
+    return f"""SELECT '{feature}' AS feature, round(chi2, {digits}) AS chi2, dof, round({_gamma("chi2", "dof")}, {digits}) AS p_value,
   {_gamma("chi2", "dof")} < 0.05 AS significant FROM {_chi2(table, feature, target)}"""
 
 
@@ -453,9 +453,9 @@ ORACLE["leakage_report"] = cte("wide_lineitem") + "\nSELECT * FROM (\n" + "\nUNI
 )
 
 
-def _pearson(feature: str, target: str) -> str:
+def _pearson(feature: str, target: str, digits: int = 6) -> str:
     p = _t_p("t", "(n - 2)")
-    return f"""SELECT '{feature}' AS feature, round(r, 6) AS r, n, round({p}, 6) AS p_value,
+    return f"""SELECT '{feature}' AS feature, round(r, {digits}) AS r, n, round({p}, {digits}) AS p_value,
   CASE WHEN r > 0 THEN 'POSITIVE' ELSE 'NEGATIVE' END AS direction, {p} < 0.05 AS significant
 FROM (SELECT r, n, r * sqrt((n - 2) / (1 - r * r)) AS t
   FROM (SELECT corr({feature}, {target}) AS r, count(*) AS n FROM lineitem WHERE {feature} IS NOT NULL AND {target} IS NOT NULL))"""
@@ -502,7 +502,7 @@ SELECT 'price' AS value_column, count(*) AS n, round(avg(finished), 6) AS target
   round(count(*) * avg(finished) * avg(price), 1) AS impact FROM priced_orders"""
 _EVIDENCE_ROWS = "\nUNION ALL\n".join(
     f"""SELECT feature, 'numeric' AS kind, 'pearson_r' AS statistic, round(r, 4) AS value, round(p_value, 4) AS p_value, significant
-FROM ({_pearson(c, "l_extendedprice")})
+FROM ({_pearson(c, "l_extendedprice", 15)})
 UNION ALL SELECT '{c}', 'numeric', concat('mean[', bucket, ']'), round(avg({c}), 4), NULL, NULL FROM buckets GROUP BY bucket"""
     for c in ("l_quantity", "l_discount")
 ) + """
@@ -517,7 +517,7 @@ SELECT * REPLACE (CAST(significant AS VARCHAR) AS significant) FROM ({_EVIDENCE_
 def _class_evidence(features: list[str]) -> str:
     return "\nUNION ALL\n".join(
         f"""SELECT feature, 'categorical' AS kind, 'chi2' AS statistic, chi2 AS value, p_value, significant
-FROM ({_chi2_test("labelled_documents", c, "quality")})
+FROM ({_chi2_test("labelled_documents", c, "quality", 15)})
 UNION ALL SELECT '{c}', 'categorical', concat('rate[1|', {c}, ']'), count(*) FILTER (quality = 1) / count(*), NULL, NULL
 FROM labelled_documents GROUP BY {c} HAVING count(*) FILTER (quality = 1) > 0"""
         for c in features
@@ -529,7 +529,7 @@ found AS (
 {_class_evidence(["lang", "toxic"])}
 UNION ALL SELECT 'n_chars', 'numeric', 'correlation', corr(n_chars, quality), NULL, NULL FROM labelled_documents
 UNION ALL SELECT feature, 'numeric', 'welch_t', t, p_value, significant
-FROM ({_welch("labelled_documents", "n_chars", "quality", "n_chars")})
+FROM ({_welch("labelled_documents", "n_chars", "quality", "n_chars", 15)})
 UNION ALL SELECT 'n_chars', 'numeric', concat('mean[', quality, ']'), avg(n_chars), NULL, NULL FROM labelled_documents GROUP BY quality)
 SELECT feature, kind, statistic, round(value, 4) AS value, round(p_value, 4) AS p_value,
   CAST(significant AS VARCHAR) AS significant FROM found"""

@@ -77,7 +77,9 @@ def bin_index(x: Column, low: float, high: float, bins: int) -> Column:
     if not high > low:
         return F.when(x.isNotNull(), F.lit(0).cast("bigint"))
     width = (high - low) / bins
-    return F.least(F.lit(bins - 1).cast("bigint"), F.floor((x - F.lit(low)) / F.lit(width)).cast("bigint"))
+    at = F.floor((x - F.lit(low)) / F.lit(width)).cast("bigint")
+    # least() passes over NULL, so a missing value needs its own case.
+    return F.when(x.isNotNull(), F.least(F.lit(bins - 1).cast("bigint"), at))
 
 
 def edge_index(x: Column, edges: Sequence[float]) -> Column:
