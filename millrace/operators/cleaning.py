@@ -14,7 +14,7 @@ from millrace.functions import types as ty
 from millrace.functions.expressions import chunks, rows_of
 from millrace.functions.sqltext import aggregate_rows, name_sql, text_sql
 from millrace.functions.types import ref
-from millrace.operators.frequency import distinct_counts, distinct_map, modes
+from millrace.operators.frequency import distinct_counts, distinct_map, fewer_than, modes
 from millrace.operators.quantiles import column_quantiles
 from millrace.operators.summary import column_facts, presence
 
@@ -219,13 +219,19 @@ def drop_constant(df: DataFrame) -> DataFrame:
     return df.select(*[ref(c) for c in df.columns if facts[c]["varies"]])
 
 
-def impute_missing(df: DataFrame) -> DataFrame:
+def missing_by_column(df: DataFrame) -> dict[str, tuple[int, int]]:
+    """(missing, rows) of the columns with missing values."""
+    return {r["column"]: (r["missing"], r["rows"]) for r in presence(df).filter("missing > 0").collect()}
+
+
+def impute_missing(df: DataFrame, gaps: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
     """Fill NULLs; drop columns over half empty.
 
     Numbers take the exact median, other types the mode (smallest on a tie).
+    ``gaps`` are the table's ``missing_by_column``, when known already.
     """
-    gaps = {r["column"]: r for r in presence(df).filter("missing > 0").collect()}
-    drop = [c for c, r in gaps.items() if r["missing"] / r["rows"] > DROP_MISSING_SHARE]
+    gaps = missing_by_column(df) if gaps is None else gaps
+    drop = [c for c, (lack, rows) in gaps.items() if lack / rows > DROP_MISSING_SHARE]
     fill = [c for c in gaps if c not in drop]
     numeric = [c for c in fill if ty.is_number_like(ty.dtype_of(df, c))]
     others = [c for c in fill if c not in numeric]
@@ -262,7 +268,7 @@ def needs_encoding(df: DataFrame, target: str) -> bool:
     kind = ty.dtype_of(df, target)
     if ty.is_text(kind):
         return True
-    return ty.is_number_like(kind) and distinct_map(df, [target])[target] < ENCODE_BELOW
+    return ty.is_number_like(kind) and target in fewer_than(df, [target], ENCODE_BELOW)
 
 
 def encode_target(df: DataFrame, target: str, max_literal: int = 1000) -> EncodedTarget:

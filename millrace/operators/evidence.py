@@ -15,7 +15,7 @@ from millrace.functions import types as ty
 from millrace.functions.expressions import ratio, rows_of, union_all
 from millrace.functions.types import as_number, ref
 from millrace.operators.contingency import contingency, group_moments
-from millrace.operators.frequency import distinct_map
+from millrace.operators.frequency import fewer_than
 from millrace.operators.hypothesis import (
     chi2_tests, class_distribution, pearson_tests, welch_tests,
 )
@@ -50,14 +50,14 @@ def driver_kinds(df: DataFrame, drivers: Sequence[str]) -> dict[str, str]:
     """numeric (over five distinct values), categorical, constant or not_found."""
     drivers = list(drivers)[:MAX_DRIVERS]
     here = [d for d in drivers if d in df.columns]
-    seen = distinct_map(df, here) if here else {}
+    few = fewer_than(df, here, NUMERIC_ABOVE + 1) if here else {}
     kinds = {}
     for d in drivers:
         if d not in here:
             kinds[d] = "not_found"
-        elif seen[d] <= 1:
+        elif few.get(d, NUMERIC_ABOVE) <= 1:
             kinds[d] = "constant"
-        elif ty.is_number_like(ty.dtype_of(df, d)) and seen[d] > NUMERIC_ABOVE:
+        elif ty.is_number_like(ty.dtype_of(df, d)) and d not in few:
             kinds[d] = "numeric"
         else:
             kinds[d] = "categorical"
@@ -218,50 +218,38 @@ def evidence_table(
             )
         )
 
+    def labelled(frame: DataFrame, kind: str, prefix: str, by: str, value: str) -> None:
+        """One untested row per group, the group named in the statistic."""
+        parts.append(
+            frame.select(
+                "feature", F.lit(kind).alias("kind"),
+                F.concat(F.lit(prefix), F.col(by), F.lit("]")).alias("statistic"),
+                F.col(value).alias("value"), none.alias("p_value"), unknown.alias("significant"),
+            )
+        )
+
     if nums:
         if problem_type == "regression":
             tests = pearson_tests(df, target, nums)
             add(tests, "numeric", "pearson_r", F.col("r"), F.col("p_value"), F.col("significant"))
-            means = quartile_means(df, target, nums)
-            for q in (*QUARTILE_LABELS, "all"):
-                add(means.filter(F.col("bucket") == q), "numeric", f"mean[{q}]", F.col("mean"), none, unknown)
+            labelled(quartile_means(df, target, nums), "numeric", "mean[", "bucket", "mean")
         else:
             r = driver_correlations(df, target, nums)
             add(r, "numeric", "correlation", F.col("r"), none, unknown)
-            if distinct_map(df, [target])[target] == 2:
+            if fewer_than(df, [target], 3).get(target) == 2:
                 w = welch_by_target(df, target, nums)
                 add(w, "numeric", "welch_t", F.col("t"), F.col("p_value"), F.col("significant"))
-            m = class_means(df, target, nums)
-            parts.append(
-                m.select(
-                    "feature", F.lit("numeric").alias("kind"),
-                    F.concat(F.lit("mean["), "class", F.lit("]")).alias("statistic"),
-                    F.col("mean").alias("value"), none.alias("p_value"), unknown.alias("significant"),
-                )
-            )
+            labelled(class_means(df, target, nums), "numeric", "mean[", "class", "mean")
     if cats:
         if problem_type == "regression":
-            m = category_target_means(df, target, cats)
-            parts.append(
-                m.select(
-                    "feature", F.lit("categorical").alias("kind"),
-                    F.concat(F.lit("target_mean["), "category", F.lit("]")).alias("statistic"),
-                    F.col("mean").alias("value"), none.alias("p_value"), unknown.alias("significant"),
-                )
-            )
+            labelled(category_target_means(df, target, cats), "categorical", "target_mean[", "category", "mean")
         else:
             c = chi2_tests(df, target, cats)
             add(c, "categorical", "chi2", F.col("chi2"), F.col("p_value"), F.col("significant"))
             positive = positive_class(df, target)
             if positive is not None:
                 rates = category_rates(df, target, cats).filter(F.col("class") == positive)
-                parts.append(
-                    rates.select(
-                        "feature", F.lit("categorical").alias("kind"),
-                        F.concat(F.lit(f"rate[{positive}|"), "category", F.lit("]")).alias("statistic"),
-                        F.col("rate").alias("value"), none.alias("p_value"), unknown.alias("significant"),
-                    )
-                )
+                labelled(rates, "categorical", f"rate[{positive}|", "category", "rate")
     odd = [(d, k, k, None, None, None) for d, k in kinds.items() if k in ("constant", "not_found")]
     if odd or not parts:
         parts.append(spark.createDataFrame(odd, _EVIDENCE))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import types as ty
-from millrace.functions.expressions import union_all
+from millrace.functions.expressions import chunks, union_all
+from millrace.functions.sqltext import name_sql
 from millrace.functions.types import ref
 
 
@@ -70,6 +71,22 @@ def distinct_map(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {c: found.get(c, 0) for c in columns}
 
 
+def fewer_than(df: DataFrame, columns: Sequence[str], limit: int) -> dict[str, int]:
+    """Exact distinct counts of the columns with fewer than ``limit`` values.
+
+    A sketch first sets aside the clearly large columns so that they are never
+    grouped: fewer than ``limit`` values fill fewer than ``limit`` registers,
+    so their estimate cannot reach twice ``limit``.
+    """
+    maybe: list[str] = []
+    for block in chunks(columns, 100):
+        sketches = [f"approx_count_distinct({name_sql(c)}) AS a{i}" for i, c in enumerate(block)]
+        maybe += [c for c, n in zip(block, df.selectExpr(*sketches).first()) if n < 2 * limit + 8]
+    if not maybe:
+        return {}
+    return {c: n for c, n in distinct_map(df, maybe).items() if n < limit}
+
+
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, value, cnt): most frequent value, the smallest on a tie."""
     best = F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("value")))

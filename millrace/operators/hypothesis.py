@@ -16,7 +16,7 @@ from millrace.functions.expressions import chunks, ratio, rows_of, union_all
 from millrace.functions.tails import chi2_pvalue, f_pvalue, t_pvalue
 from millrace.functions.types import ref
 from millrace.operators.contingency import chi_square, contingency, group_moments
-from millrace.operators.frequency import distinct_map
+from millrace.operators.frequency import fewer_than
 from millrace.operators.moments import pair_correlation, target_correlations
 
 # Thresholds that results must agree on.
@@ -27,20 +27,9 @@ LEAK_CORRELATION = 0.95
 
 
 def few_valued(df: DataFrame, columns: Sequence[str], below: int) -> list[str]:
-    """Columns with more than one and fewer than ``below`` distinct values.
-
-    A sketch first sets aside the clearly large columns so that they are never
-    grouped: with fewer than ``below`` values fewer than ``below`` registers
-    are filled, so the estimate cannot reach twice ``below``.
-    """
-    maybe: list[str] = []
-    for block in chunks(columns, 100):
-        row = df.agg(*[F.approx_count_distinct(ref(c)).alias(f"a{i}") for i, c in enumerate(block)]).first()
-        maybe += [c for c, n in zip(block, row) if n < 2 * below + 8]
-    if not maybe:
-        return []
-    exact = distinct_map(df, maybe)
-    return [c for c in maybe if 1 < exact[c] < below]
+    """Columns with more than one and fewer than ``below`` distinct values."""
+    counts = fewer_than(df, columns, below)
+    return [c for c in columns if counts.get(c, 0) > 1]
 
 
 def group_columns(df: DataFrame, target: str) -> list[str]:

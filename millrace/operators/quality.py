@@ -11,7 +11,7 @@ from millrace.functions import types as ty
 from millrace.functions.expressions import chunks, ratio, rows_of
 from millrace.functions.sqltext import aggregate_rows, double_sql, name_sql, number_sql, text_sql
 from millrace.functions.types import ref
-from millrace.operators.frequency import distinct_counts
+from millrace.operators.frequency import distinct_counts, fewer_than
 from millrace.operators.quantiles import column_quantiles
 from millrace.operators.summary import numeric_summary, presence
 
@@ -174,6 +174,22 @@ def problem_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return distinct_counts(df, names).select("column", "n_unique", kind.alias("problem_type"))
 
 
+def problem_type(df: DataFrame, target: str) -> str:
+    """The problem type of one target, without counting many distinct values.
+
+    Over 30 values settle it, so only a target of fewer is counted exactly.
+    """
+    ty.require_column(df, target)
+    if df.isEmpty():
+        raise ValueError("cannot infer a problem type from an empty table")
+    if not ty.is_number(ty.dtype_of(df, target)):
+        return "classification"
+    u = fewer_than(df, [target], 31).get(target)
+    if u is None or (u > 10 and u / df.count() > 0.05):
+        return "regression"
+    return "classification"
+
+
 def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, cnt, pct, lower_bound, upper_bound) for columns with outliers."""
     names = list(columns) if columns is not None else ty.number_columns(df)

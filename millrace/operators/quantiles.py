@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from millrace.functions.expressions import chunks
 from millrace.functions.sqltext import double_sql, inline, number_sql, record
 
-DIRECT_LIMIT = 100_000
+DIRECT_LIMIT = 250_000
 FINAL_LIMIT = 2_000
 ACCURACY = 10_000
 

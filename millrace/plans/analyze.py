@@ -118,7 +118,7 @@ def analyze(
         bad = [r["check"] for r in quality.target_gate(cleaned.table, target).collect() if not r["passed"]]
         if bad:
             raise TargetError(f"target {target!r} fails {bad}")
-        problem = quality.problem_types(cleaned.table, [target]).first()["problem_type"]
+        problem = quality.problem_type(cleaned.table, target)
         features = cleaned.table.drop(*cleaned.keys)
         profiled = profile(features, target, max_plots=max_plots)
         more = {} if trees is None else {"trees": trees}

@@ -11,7 +11,6 @@ from millrace.functions import types as ty
 from millrace.functions.types import ref
 from millrace.operators import cleaning as cl
 from millrace.operators import hypothesis, quality
-from millrace.operators.summary import presence
 from millrace.sources.sinks import stage
 
 
@@ -69,9 +68,9 @@ def prepare(
     changed = [c for c in df.columns if typed.schema[c].dataType != df.schema[c].dataType]
     actions += [("retype", c, None) for c in changed]
     named = cl.normalize_names(typed)
-    filled = cl.impute_missing(named)
-    gaps = {r["column"]: r["missing"] for r in presence(named).filter("missing > 0").collect()}
-    for c, n in gaps.items():
+    gaps = cl.missing_by_column(named)
+    filled = cl.impute_missing(named, gaps)
+    for c, (n, _) in gaps.items():
         actions.append(("fill_missing" if c in filled.columns else "drop_mostly_missing", c, n))
     return filled
 

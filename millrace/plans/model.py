@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.functions import types as ty
 from millrace.functions.types import ref
 from millrace.operators import modelling as m
-from millrace.operators.quality import problem_types
+from millrace.operators.quality import problem_type as infer
 from millrace.operators.screening import Selection, select_features
 from millrace.sources.sinks import stage
 
@@ -78,7 +78,7 @@ def model(
     if challenger not in ("forest", "tuned"):
         raise ValueError("challenger is 'forest' or 'tuned'")
     if problem_type is None:
-        problem_type = problem_types(df, [target]).first()["problem_type"]
+        problem_type = infer(df, target)
     if not keys:
         df = stage(df.withColumn(_ROW, F.monotonically_increasing_id()), "numbered")
         keys = [_ROW]

@@ -88,11 +88,13 @@ def test_target_gate(spark):
 def test_problem_type(spark, n, distinct, want):
     df = spark.range(n).select((F.col("id") % distinct).alias("y"))
     assert quality.problem_types(df).first()["problem_type"] == want
+    assert quality.problem_type(df, "y") == want
 
 
 def test_problem_type_errors(spark):
-    with pytest.raises(ValueError):
-        quality.problem_types(spark.createDataFrame([], "y int"))
+    for infer in (quality.problem_types, lambda df: quality.problem_type(df, "y")):
+        with pytest.raises(ValueError):
+            infer(spark.createDataFrame([], "y int"))
     text = spark.range(50).select(F.col("id").cast("string").alias("y"))
     assert quality.problem_types(text).first()["problem_type"] == "classification"
 
