@@ -271,7 +271,7 @@ def needs_encoding(df: DataFrame, target: str) -> bool:
     return ty.is_number_like(kind) and target in fewer_than(df, [target], ENCODE_BELOW)
 
 
-def encode_target(df: DataFrame, target: str, max_literal: int = 1000) -> EncodedTarget:
+def encode_target(df: DataFrame, target: str, max_literal: int = 100) -> EncodedTarget:
     """Replace the target by the rank of its class in sorted order, from 0.
 
     Missing targets count as the most frequent class.  A few classes become a
@@ -282,25 +282,24 @@ def encode_target(df: DataFrame, target: str, max_literal: int = 1000) -> Encode
     if not needs_encoding(df, target):
         return EncodedTarget(df, None)
     c, kind = ref(target), ty.dtype_of(df, target)
-    counts = df.groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
-    top = (
-        counts.filter("value is not null")
-        .agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("value"))).alias("best"))
-        .select("best.value")
-    ).first()[0]
-    filled = c if top is None and not ty.is_text(kind) else F.coalesce(c, F.lit(NO_MODE if top is None else top))
-    classes = df.select(filled.alias("value")).distinct().filter("value is not null")
-    few = classes.limit(max_literal + 1).collect()
-    spark = df.sparkSession
-    if len(few) <= max_literal:
-        ordered = sorted(r[0] for r in few)
-        pairs = [(v, i) for i, v in enumerate(ordered)]
-        coded = spark.createDataFrame(pairs, T.StructType([T.StructField("value", kind), T.StructField("code", T.LongType())]))
+    counts = (
+        df.filter(c.isNotNull()).groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
+    )
+    # The most frequent class first; all classes, when there are few.
+    head = [r["value"] for r in counts.orderBy(F.desc("cnt"), "value").limit(max_literal + 1).collect()]
+    if not head and ty.is_text(kind):
+        head = [NO_MODE]
+    filled = F.coalesce(c, F.lit(head[0])) if head else c
+    if len(head) <= max_literal:
+        pairs = [(v, i) for i, v in enumerate(sorted(head))]
+        coded = df.sparkSession.createDataFrame(
+            pairs, T.StructType([T.StructField("value", kind), T.StructField("code", T.LongType())])
+        )
         if not pairs:
             return EncodedTarget(df.withColumn(target, F.lit(None).cast("bigint")), coded)
         lookup = F.create_map(*[F.lit(x).cast(k) for v, i in pairs for x, k in ((v, kind), (i, "bigint"))])
         return EncodedTarget(df.withColumn(target, F.try_element_at(lookup, filled)), coded)
-    coded = ranked_codes(classes, "value")
+    coded = ranked_codes(counts, "value")
     joined = join_codes(df.withColumn("__class", filled), "__class", coded)
     table = joined.select(*[F.col("__code").alias(target) if x == target else ref(x) for x in df.columns])
     return EncodedTarget(table, coded)

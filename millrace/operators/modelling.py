@@ -138,7 +138,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.select("class", ratio(share, F.col("cnt")).alias("weight"))
 
 
-def with_class_weights(df: DataFrame, label: str, name: str = "weight", max_classes: int = 1000) -> DataFrame:
+def with_class_weights(df: DataFrame, label: str, name: str = "weight", max_classes: int = 100) -> DataFrame:
     """Add the class weight; a few classes become a literal lookup."""
     weights = class_weights(df, label)
     rows = weights.limit(max_classes + 1).collect()

@@ -108,6 +108,8 @@ def analyze(
     metrics: Mapping[str, int] = {}
     try:
         df = load_table(spark, source, kind) if isinstance(source, str) else source
+        if name not in ("parquet", "table"):
+            df = sinks.stage(df, "loaded")  # read row text or the database once
         if target is None:
             probe = clean(df, None, schema, rules, keys, encode=False)
             target = [c for c in probe.readable.columns if c not in probe.keys][-1]

@@ -67,6 +67,9 @@ def prepare(
     typed = cl.correct_types(cl.apply_schema(df, schema) if schema else df)
     changed = [c for c in df.columns if typed.schema[c].dataType != df.schema[c].dataType]
     actions += [("retype", c, None) for c in changed]
+    if changed:
+        # Parse the text once; every later pass reads typed columns.
+        typed = stage(typed, "typed")
     named = cl.normalize_names(typed)
     gaps = cl.missing_by_column(named)
     filled = cl.impute_missing(named, gaps)
@@ -149,6 +152,6 @@ def clean(
 
 
 def clean_steps(df: DataFrame, schema: Mapping | None = None) -> DataFrame:
-    """The readable cleaned table alone, without staging."""
+    """The readable cleaned table alone."""
     filled = prepare(df, schema, [])
     return cl.standardize_text(quality.drop_duplicate_rows(cl.drop_constant(filled)))
