@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MIN_FILE_ROWS = 20_000
+MIN_FILE_ROWS = 1_000
 
 RUN_LOG = (
     "run_id string, file_type string, status string, rows_before bigint, rows_after bigint, "

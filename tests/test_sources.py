@@ -102,7 +102,7 @@ def test_staging_writes_to_the_shared_folder(spark, rows):
     df = spark.range(50_000).coalesce(1)
     out = sinks.stage(df, "t", rows=50_000)
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in out.inputFiles())
-    assert len(out.inputFiles()) == 3 and out.count() == 50_000
+    assert len(out.inputFiles()) == 4 and out.count() == 50_000
 
 
 def test_staging_needs_a_shared_folder_off_local():
