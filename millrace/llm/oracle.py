@@ -1,3 +1,45 @@
 """The same results as SQL, where SQL can express them."""
 
-ORACLE: dict[str, str] = {}
+from millrace.llm import decontaminate, lines
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP2 = f"""
+WITH pages AS (SELECT row_number() OVER () AS r, doc_id, text, source, string_split(text, chr(10)) AS lines FROM documents),
+once AS (SELECT DISTINCT r, source, trim(line) AS line FROM (SELECT r, source, unnest(lines) AS line FROM pages) WHERE trim(line) <> ''),
+counts AS (SELECT source, line, count(*) AS n FROM once GROUP BY ALL),
+totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY ALL),
+bad AS (SELECT c.source, c.line FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
+        WHERE c.n >= {lines.MIN_PAGES} AND c.n > {lines.RATIO}::DOUBLE * t.pages),
+numbered AS (SELECT r, source, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM pages),
+kept AS (SELECT n.r, string_agg(n.line, chr(10) ORDER BY n.i) AS text, count(*) AS n
+         FROM numbered n LEFT JOIN bad b ON n.source IS NOT DISTINCT FROM b.source AND trim(n.line) = b.line
+         WHERE b.line IS NULL GROUP BY n.r)
+SELECT doc_id, CASE WHEN p.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+       coalesce(len(lines), 0)::BIGINT AS n_lines, (coalesce(len(lines), 0) - coalesce(k.n, 0))::BIGINT AS n_dropped
+FROM pages p LEFT JOIN kept k USING (r)
+"""
+
+OP3 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{decontaminate.WORD}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{decontaminate.WORD}') AS w FROM benchmark),
+c AS (SELECT item_id, w, least(len(w), {decontaminate.WINDOW_WORDS}) AS l FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, l, array_to_string(w[i : i + l - 1], ' ') AS k
+       FROM (SELECT *, unnest(generate_series(1, len(w) - l + 1)) AS i FROM c)),
+dw AS (SELECT r, i, l, array_to_string(w[i : i + l - 1], ' ') AS k
+       FROM (SELECT r, w, l, unnest(generate_series(1, len(w) - l + 1)) AS i
+             FROM d, (SELECT DISTINCT l FROM bw) WHERE len(w) >= l)),
+hit AS (SELECT DISTINCT r, i, l, item_id FROM dw JOIN bw USING (l, k)),
+places AS (SELECT r, count(*) AS n
+           FROM (SELECT DISTINCT r, unnest(generate_series(i, i + l - 1)) AS p FROM hit) GROUP BY r),
+items AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hit) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(p.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(p.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN places p USING (r) LEFT JOIN items t USING (r)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_lines": OP2,
+    "op3_decontaminate": OP3,
+}

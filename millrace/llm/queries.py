@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe
+from millrace.llm import bpe, decontaminate, lines
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -38,6 +39,28 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its source's boilerplate lines."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return lines.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which words of every document lie in passages of the benchmark, and whose."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = decontaminate.contamination(docs, _read(spark, sf_dir, "benchmark"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_lines": op2_lines,
+    "op3_decontaminate": op3_decontaminate,
 }
