@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, lines
+from millrace.llm import bpe, decontaminate, licenses, lines
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,8 +59,25 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses that every document names."""
+    seen = licenses.scan(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("base", lambda x: x["start"].cast("long"))
+    return seen.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        licenses.labels(F.col("base")).alias("base_labels"),
+        licenses.labels(F.col("detections")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("detections", lambda x: x["score"])), F.lit(0.0)).alias("score"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_lines": op2_lines,
     "op3_decontaminate": op3_decontaminate,
+    "op4_licenses": op4_licenses,
 }
