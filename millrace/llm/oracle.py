@@ -39,7 +39,25 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(p.n, 0)::BIGINT AS n_hit, coa
 FROM d LEFT JOIN places p USING (r) LEFT JOIN items t USING (r)
 """
 
+_SPACED = r"[^\x20\x09-\x0D]+"
+
+OP9 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 4)
+       UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) BETWEEN 1 AND 3),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT a AS x, b AS y FROM links UNION SELECT r.x, l.b FROM reach r JOIN links l ON r.y = l.a),
+least AS (SELECT x AS doc_id, min(y) AS m FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id,
+       doc_id <= coalesce(m, doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_lines": OP2,
     "op3_decontaminate": OP3,
+    "op9_minhash": OP9,
 }

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, licenses, lines
+from millrace.llm import bpe, decontaminate, licenses, lines, near
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,9 +75,17 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near copies among all documents."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near.near_duplicates(docs, size=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_lines": op2_lines,
     "op3_decontaminate": op3_decontaminate,
     "op4_licenses": op4_licenses,
+    "op9_minhash": op9_minhash,
 }
