@@ -56,8 +56,21 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(m,
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
+OP8 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+win AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM d WHERE len(w) >= 50)),
+least AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+bad AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM win JOIN least USING (h) WHERE doc_id > m),
+each AS (SELECT doc_id, unnest(w) AS x, unnest(generate_series(1, len(w))) AS p FROM d),
+kept AS (SELECT e.doc_id, string_agg(x, ' ' ORDER BY e.p) AS t, count(*) AS n FROM each e ANTI JOIN bad USING (doc_id, p) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op2_lines": OP2,
     "op3_decontaminate": OP3,
+    "op8_repeats": OP8,
     "op9_minhash": OP9,
 }

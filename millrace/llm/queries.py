@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, licenses, lines, near
+from millrace.llm import bpe, decontaminate, licenses, lines, near, repeats
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,6 +75,13 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages of 50 words that an earlier one has."""
+    found = repeats.drop_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.encode(F.coalesce("kept_text", F.lit("")), "utf-8"), 256)
+    return found.select("doc_id", "n_words", "n_removed", kept.alias("kept_sha256"))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near copies among all documents."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -87,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lines": op2_lines,
     "op3_decontaminate": op3_decontaminate,
     "op4_licenses": op4_licenses,
+    "op8_repeats": op8_repeats,
     "op9_minhash": op9_minhash,
 }
