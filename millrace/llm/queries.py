@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, licenses, lines, near, repeats
+from millrace.llm import bpe, decontaminate, licenses, lines, near, repeats, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,6 +75,11 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five vectors nearest by inner product to every 50th one."""
+    return topk.top_k(_read(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without passages of 50 words that an earlier one has."""
     found = repeats.drop_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lines": op2_lines,
     "op3_decontaminate": op3_decontaminate,
     "op4_licenses": op4_licenses,
+    "op7_topk": op7_topk,
     "op8_repeats": op8_repeats,
     "op9_minhash": op9_minhash,
 }
