@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, licenses, lines, near, repeats, topk
+from millrace.llm import bpe, decontaminate, licenses, lines, near, pages, repeats, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -94,6 +94,12 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = pages.extract(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_lines": op2_lines,
@@ -102,4 +108,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_topk": op7_topk,
     "op8_repeats": op8_repeats,
     "op9_minhash": op9_minhash,
+    "op10_pages": op10_pages,
 }
