@@ -3,13 +3,27 @@
 from __future__ import annotations
 
 import math
+import os
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where it lies.
+
+    On a cluster the package is installed or sent with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -7,13 +7,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, licenses, lines, near, pages, repeats, topk
+from millrace.llm import bpe, decontaminate, langid, licenses, lines, near, pages, pii, repeats, topk
+from millrace.llm.frames import importable
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -75,6 +77,28 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.learn(docs)).select("doc_id", "base", "spans")
+
+    def joined(spans: str) -> Column:
+        each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(each, ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four fifths of them."""
+    found = langid.identify(_read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five vectors nearest by inner product to every 50th one."""
     return topk.top_k(_read(spark, sf_dir, "embeddings"), "id % 50 = 0")
@@ -105,6 +129,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lines": op2_lines,
     "op3_decontaminate": op3_decontaminate,
     "op4_licenses": op4_licenses,
+    "op5_pii": op5_pii,
+    "op6_langid": op6_langid,
     "op7_topk": op7_topk,
     "op8_repeats": op8_repeats,
     "op9_minhash": op9_minhash,
