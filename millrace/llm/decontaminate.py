@@ -142,6 +142,5 @@ def _none(spark: SparkSession, kind: str) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame, ratio: float = 0.0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents whose share of hit words is at most ``ratio``, with their own columns."""
     plain, names = plain_names(docs)
-    rows = plain.select(F.struct("*").alias("row"), F.col(names[doc_id]).alias("doc_id"), F.col(names[text]).alias("text"))
-    kept = contamination(rows, items).filter(F.col("n_hit") <= ratio * F.col("n_words")).select("row.*")
-    return named_again(kept, names)
+    judged = contamination(plain, items, names[doc_id], names[text])
+    return named_again(judged.filter(F.col("n_hit") <= ratio * F.col("n_words")), names)

@@ -149,3 +149,15 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
     known = docs.filter(~held_out(F.col(doc_id)))
     profiles = learn(known, F.col(doc_id), text, lang)
     return predict(docs.withColumn("held_out", held_out(F.col(doc_id))), profiles, text)
+
+
+def keep_identified(docs: DataFrame, least: float, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows in a learned language, with their own columns; a missing label is filled in.
+
+    Rows without letters go, and those whose score is below ``least``.
+    """
+    plain, names = plain_names(docs)
+    found = identify(plain, names[doc_id], names[text], names[lang])
+    found = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    found = found.withColumn(names[lang], F.coalesce(names[lang], "lang_pred"))
+    return named_again(found, names)

@@ -187,6 +187,12 @@ def near_duplicates(
     return named_again(found, names, n_shingles="n_shingles", component_id="component_id", kept="kept")
 
 
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options: int) -> DataFrame:
+    """One document of each group, the one with the smallest id, with its own columns."""
+    plain, names = plain_names(docs)
+    return named_again(near_duplicates(plain, names[doc_id], names[text], **options).filter("kept"), names)
+
+
 def _node_components(nodes: DataFrame, docs: DataFrame, size: int, percent: int, kind: str) -> DataFrame:
     keys = nodes.select("node", "signature").mapInArrow(_keys, f"key long, node {kind}")
     centers = keys.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).filter("center < last")
