@@ -180,7 +180,7 @@ def near_duplicates(
     named = nodes.join(labels, "node", "left").select("class", "node", F.coalesce("component", "node").alias("component"))
     # Texts of one id and classes of one component meet in the smallest id.
     of = prints.select("doc", "n_shingles", "class").distinct().join(named, "class", "left")
-    of = of.select(F.col("doc"), F.col("class"), F.col("n_shingles"), F.coalesce("component", "doc").alias("component_id"))
+    of = of.select(F.col("doc"), F.col("class"), F.col("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component_id"))
     of = of.groupBy("doc").agg(F.min("component_id").alias("component_id"), F.max("n_shingles").alias("n_shingles"))
     found = plain.join(of, F.col(names[doc_id]).eqNullSafe(F.col("doc")), "left")
     found = found.withColumn("kept", F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)))

@@ -55,6 +55,7 @@ _IP = re.compile(r"(?<![0-9])" + IP)
 _DIGIT = re.compile(r"[0-9]")
 _GAP = r"(?:[\x20.,/:_-]|\)\x20?|\x20?\(|\[\.\]|\x20-\x20)?"
 _LOOSE_DIGITS = re.compile(rf"\(?[0-9](?:{_GAP}[0-9])+")
+_FOUR = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|[,_-])[0-9]{1,3}){3}")
 _LOOSE_MAIL = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:\[at\]|\(at\))\x20?[A-Za-z0-9-]{1,64}"
     r"(?:\x20?(?:\[dot\]|\(dot\)|\.)\x20?[A-Za-z0-9-]{1,64})+",
@@ -146,10 +147,8 @@ def _key(mention: str) -> str:
     if "@" in mention or re.search(r"[\[(]at[\])]", mention, re.I):
         plain = re.sub(r"[\[(]at[\])]", "@", mention.lower())
         return re.sub(r"[^a-z0-9@.]", "", re.sub(r"[\[(]dot[\])]", ".", plain))
-    if re.fullmatch(r"[0-9]+(?:(?:\.|\[\.\]|[,_-])[0-9]+){3}", mention):
-        parts = re.findall("[0-9]+", mention)
-        if all(len(p) <= 3 for p in parts):
-            return ".".join(parts)
+    if _FOUR.fullmatch(mention):
+        return ".".join(re.findall("[0-9]+", mention))
     digits = "".join(_DIGIT.findall(mention))
     # A number with and without its country code is the same one.
     return digits[-10:] if len(digits) <= 13 else digits
@@ -164,7 +163,7 @@ def _marks(text: str, start: int, end: int) -> int:
         bool(re.search(r"[\[(]at[\])]", mention, re.I)),
         mention.startswith("+"),
         "(" in mention,
-        mention.count(".") == 3,
+        bool(_FOUR.fullmatch(mention)),
         n < 9,
         9 <= n <= 12,
         13 <= n <= 19,
