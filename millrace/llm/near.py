@@ -10,8 +10,11 @@ full sets (of 64-bit shingle hashes).
 
 Groups of copies stay linear: documents with equal sets are one node; a key ties
 its nodes to its smallest one; pairs within a component need no further look.  Only
-nodes of different components that share a key are compared with each other, in
-blocks, by their signatures first.
+nodes of different components that share a key are compared with each other.
+Shingles that no other of these nodes has can't be common to any pair; what is left
+of a set bounds its similarity to every other and settles most nodes.  The others
+meet in blocks of bounded size, by families (nodes tied by keys), where sizes, bounds
+and signatures decide which sets are compared; only links leave a block.
 
 Defined results: a null text, one without words and a row without id are linked with
 nothing; a text of fewer words than a shingle is one shingle; rows that repeat an id
@@ -40,9 +43,9 @@ SYMBOLS, CHUNK, BITS = 50, 5, 16
 #: Signatures that differ in more symbols aren't compared in full after the first
 #: round: at a similarity of 0.8 the chance of that is below one in 10 ** 8.
 FAR = 27
-#: Nodes of a key that are compared with as many others in one piece of work.
-BLOCK = 500
-BUCKET_ROWS = 100_000
+#: Shingles in a block of nodes, which is compared with one other at a time, and in
+#: what a task takes at once.
+BLOCK_SHINGLES, BUCKET_SHINGLES = 500_000, 2_000_000
 
 
 def shingle_sets(texts: pa.StringArray, size: int) -> Iterator[np.ndarray]:
@@ -113,6 +116,14 @@ def _sets(size: int) -> Callable:
     return run
 
 
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles as 32 bits: two that meet by chance only count as common."""
+    for batch in batches:
+        for node, found in zip(batch["node"], batch["set"], strict=True):
+            token = (np.frombuffer(found.as_buffer(), "<u8") >> np.uint64(32)).astype("<u4").view(np.int32)
+            yield pa.record_batch({"node": pa.repeat(node, len(token)), "token": pa.array(token)})
+
+
 def _similar(percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,15 +139,16 @@ def _similar(percent: int) -> Callable:
     return run
 
 
-def _across() -> Callable:
-    """Pairs of different components within the blocks of a bucket whose signatures are close."""
+def _across(percent: int) -> Callable:
+    """Links between nodes of different components within the blocks of a bucket."""
 
     def run(table: pa.Table) -> pa.Table:
-        key, i, j, block = (table[c].to_numpy() for c in ("key", "i", "j", "block"))
-        nodes, parts = table["node"].combine_chunks(), table["component"].combine_chunks().dictionary_encode().indices.to_numpy()
+        family, component = (table[c].combine_chunks().dictionary_encode().indices.to_numpy() for c in ("family", "component"))
+        i, j, block, n, common = (table[c].to_numpy() for c in ("i", "j", "block", "n", "common"))
+        nodes, sets = table["node"].combine_chunks(), [np.frombuffer(x.as_buffer(), "<u8") for x in table["set"]]
         symbols = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u2").reshape(-1, SYMBOLS)
-        order = np.lexsort((j, i, key))
-        cuts = np.flatnonzero((np.diff(key[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
+        order = np.lexsort((j, i, family))
+        cuts = np.flatnonzero((np.diff(family[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
         left, right = [], []
         for piece in np.split(order, cuts):
             inner = i[piece[0]] == j[piece[0]]
@@ -144,10 +156,16 @@ def _across() -> Callable:
             columns = piece if inner else piece[block[piece] == j[piece[0]]]
             for place, row in enumerate(rows):
                 others = columns[place + 1 :] if inner else columns
-                others = others[parts[others] != parts[row]]
+                others = others[component[others] != component[row]]
+                # |x & y| / |x | y| >= t needs |x & y| >= t / (1 + t) * (|x| + |y|).
+                most = np.minimum(common[others], common[row])
+                others = others[(100 + percent) * most >= percent * (n[others] + n[row])]
+                others = others[(symbols[others] == symbols[row]).sum(1) >= SYMBOLS - FAR]
                 if len(others):
-                    same = symbols[others] == symbols[row]
-                    close = others[same.sum(1) >= SYMBOLS - FAR]
+                    sizes = np.array([len(sets[x]) for x in others])
+                    both = np.isin(np.concatenate([sets[x] for x in others]), sets[row])
+                    both = np.add.reduceat(both.astype(np.int64), np.cumsum(sizes) - sizes)
+                    close = others[100 * both >= percent * (sizes + len(sets[row]) - both)]
                     left += [row] * len(close)
                     right += close.tolist()
         return pa.table({"a": nodes.take(pa.array(left, pa.int64())), "b": nodes.take(pa.array(right, pa.int64()))})
@@ -155,16 +173,6 @@ def _across() -> Callable:
     return run
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int, kind: str) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = docs.join(wanted, docs["doc"] == wanted["node"]).select("node", "text")
-    sets = stage(texts.mapInArrow(_sets(size), f"node {kind}, set binary"), "sets")
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(_similar(percent), f"a {kind}, b {kind}")
-
-
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -175,7 +183,7 @@ def near_duplicates(
     prints = f"doc {kind}, n_shingles long, class binary, signature binary"
     prints = stage(rows.mapInArrow(_fingerprints(size), prints), "fingerprints")
     nodes = prints.filter("class IS NOT NULL AND doc IS NOT NULL").groupBy("class")
-    nodes = stage(nodes.agg(F.min("doc").alias("node"), F.first("signature").alias("signature")), "nodes")
+    nodes = stage(nodes.agg(F.min("doc").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n")), "nodes")
     labels = _node_components(nodes, rows.filter("doc IS NOT NULL"), size, percent, kind)
     named = nodes.join(labels, "node", "left").select("class", "node", F.coalesce("component", "node").alias("component"))
     # Texts of one id and classes of one component meet in the smallest id.
@@ -197,29 +205,47 @@ def _node_components(nodes: DataFrame, docs: DataFrame, size: int, percent: int,
     keys = nodes.select("node", "signature").mapInArrow(_keys, f"key long, node {kind}")
     centers = keys.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).filter("center < last")
     shared = stage(keys.join(centers.select("key", "center"), "key"), "shared")
+    wanted = shared.select("node").distinct()
+    texts = docs.join(wanted, docs["doc"] == wanted["node"]).select("node", "text")
+    sets = stage(texts.mapInArrow(_sets(size), f"node {kind}, set binary"), "sets")
+    # Each key's nodes against its smallest one.
     stars = shared.filter("node > center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-    links = stage(_linked(stage(stars, "stars"), docs, size, percent, kind), "similar")
+    both = stars.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
+    links = both.select("a", "b", "set_a", "set_b").mapInArrow(_similar(percent), f"a {kind}, b {kind}")
     labels = components(links)
-    # Nodes of one key that are still apart.
-    placed = shared.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    apart = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x < y")
-    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    placed = placed.join(apart.select("key", blocks.alias("blocks")), "key")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    placed = placed.select("key", "node", "component", "block", other.alias("other"))
-    placed = placed.join(nodes.select("node", "signature").distinct(), "node").select(
-        "key", "node", "component", "block", "signature", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
-    )
-    placed = stage(placed, "apart")
-    n = placed.count()
-    if n == 0:
+    # Nodes of one key that are still apart, and how much of each may be common to two.
+    placed = shared.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    placed = stage(_apart(placed), "apart")
+    tokens = sets.join(placed.select("node").distinct(), "node").select("node", "set").mapInArrow(_tokens, f"node {kind}, token int")
+    lone = tokens.groupBy("token").agg(F.count("*").alias("times"), F.min("node").alias("node")).filter("times = 1")
+    lone = lone.groupBy("node").agg(F.count("*").alias("lone"))
+    # An id with several texts has several sets; nothing is known of each one's own part.
+    sizes = nodes.groupBy("node").agg(F.max("n").alias("n"), F.count("*").alias("texts"), F.first("signature").alias("signature"))
+    sizes = sizes.join(lone, "node", "left")
+    common = F.col("n") - F.when(F.col("texts") == 1, F.coalesce("lone", F.lit(0))).otherwise(0)
+    sizes = sizes.select("node", "signature", "n", common.alias("common")).filter(100 * F.col("common") >= percent * F.col("n"))
+    placed = stage(_apart(placed.join(sizes, "node")), "open")
+    ends = placed.groupBy("key").agg(F.min("node").alias("a"))
+    family = components(placed.join(ends, "key").select("a", F.col("node").alias("b")))
+    members = placed.select("node", "component", "signature", "n", "common").distinct()
+    members = members.join(family.withColumnRenamed("component", "family"), "node")
+    blocks = members.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    members = members.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    members = members.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "blocks")
+    members = stage(members, "members")
+    amount = members.agg(F.sum("n")).first()[0]
+    if not amount:
         return labels
-    session = placed.sparkSession
-    buckets = max(3 * session.sparkContext.defaultParallelism, math.ceil(n / BUCKET_ROWS))
-    dealt = placed.withColumn("bucket", F.pmod(F.xxhash64("key", "i", "j"), F.lit(buckets)).cast("int"))
-    pairs = dealt.groupBy("bucket").applyInArrow(_across(), f"a {kind}, b {kind}")
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _linked(stage(pairs, "pairs"), docs, size, percent, kind)
+    buckets = max(3 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(amount / BUCKET_SHINGLES))
+    dealt = members.withColumn("bucket", F.pmod(F.xxhash64("family", "i", "j"), F.lit(buckets)).cast("int"))
+    more = dealt.join(sets, "node").groupBy("bucket").applyInArrow(_across(percent), f"a {kind}, b {kind}")
     tied = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return components(tied.unionByName(more))
+
+
+def _apart(placed: DataFrame) -> DataFrame:
+    """The rows of keys whose nodes lie in several components."""
+    ends = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    return placed.join(ends.filter("x < y").select("key"), "key")
