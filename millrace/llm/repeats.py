@@ -7,7 +7,7 @@ Suffixes are taken up where a shared window must show itself: every window names
 the place of its smallest run of ``prefix`` words, so equal windows name equal runs
 at equal offsets (one place in about 20 words).  Runs that stand in one document
 only branch no further.  For the others, the suffixes of the windows naming them
-are split by prefix into groups of bounded size: a run of up to ``GROUP`` documents
+are split by prefix into groups of bounded size: a run of up to ``GROUP`` places
 is a prefix of its own, more frequent runs are extended to the whole window.  Each
 group is a subtree, kept as its sorted suffixes; suffixes that agree down to the
 window's depth are one deep internal node, a maximal repeat's window.  The most
@@ -38,8 +38,9 @@ from millrace.sources.sinks import stage
 
 WINDOW_WORDS = 50
 PREFIX_WORDS = 12
-#: Documents with a prefix that one group takes; more are split by a longer prefix.
-GROUP = 5_000
+#: Places of a prefix that one group takes, with 39 windows each (under 100 MB); more
+#: frequent prefixes are extended.
+GROUP = 50_000
 #: Suffixes in a bucket of groups.
 BUCKET_ROWS = 200_000
 
@@ -163,7 +164,9 @@ def repeated_spans(
     each = outline.join(known.filter("NOT whole"), "doc").select("doc", F.explode(F.arrays_zip("runs", "places")).alias("x"))
     each = each.select("doc", F.col("x.runs").alias("run"), F.col("x.places").alias("place"))
     often = each.groupBy("run").agg(F.min("doc").alias("a"), F.max("doc").alias("b"), F.count("*").alias("n")).filter("a < b")
-    met = each.join(often.select("run", (F.col("n") > GROUP).alias("hot")), "run")
+    # Written first, so that the join is between two plain tables and a frequent run can be split.
+    often = stage(often.select("run", (F.col("n") > GROUP).alias("hot")), "runs")
+    met = each.join(often, "run")
     places = [F.collect_list(F.when(F.col("hot") == hot, F.col("place"))).alias(name) for hot, name in ((False, "rare"), (True, "often"))]
     met = met.groupBy("doc").agg(*places)
     schema = f"doc {kind}, start int, prefix long, path long, check long, hot boolean"
@@ -173,8 +176,9 @@ def repeated_spans(
     groups = found.filter("NOT hot").withColumn("bucket", F.pmod(F.xxhash64("prefix"), F.lit(buckets)).cast("int"))
     cold = groups.groupBy("bucket").applyInArrow(_deep_nodes, f"doc {kind}, start int")
     hot = found.filter("hot")
-    least = hot.groupBy("path", "check").agg(F.min("doc").alias("first"))
-    hot = hot.join(least, ["path", "check"]).filter("doc > first").select("doc", "start")
+    ends = hot.groupBy("path", "check").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+    nodes = stage(ends.filter("first < last").select("path", "check", "first"), "nodes")
+    hot = hot.join(nodes, ["path", "check"]).filter("doc > first").select("doc", "start")
     starts = cold.unionByName(hot).groupBy("doc").agg(F.array_sort(F.collect_set("start")).alias("starts"))
     return known.join(starts, "doc", "left")
 
