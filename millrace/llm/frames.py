@@ -12,16 +12,30 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from where it lies.
-
-    On a cluster the package is installed or sent with ``--py-files``.
+#: Python workers live on between tasks; with these, what a task frees goes back to
+#: the system at once and doesn't add up over the workers of an executor.
+WORKER_SETTINGS = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+    "MALLOC_ARENA_MAX": "1",
+    "MALLOC_MMAP_THRESHOLD_": "4194304",
+    "MALLOC_TRIM_THRESHOLD_": "4194304",
+    "TOKENIZERS_PARALLELISM": "false",
+}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings of Python workers, for sessions that haven't started any yet.
+
+    On one machine they can import the package from where it lies; on a cluster it
+    is installed or sent with ``--py-files``.
     """
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    for name, value in WORKER_SETTINGS.items():
+        env.setdefault(name, value)
 
 
 def ascii_lower(text: Column) -> Column:

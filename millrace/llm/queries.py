@@ -2,42 +2,29 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, langid, licenses, lines, near, pages, pii, repeats, topk
-from millrace.llm.frames import importable
+from millrace.llm.frames import prepare
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _bpe_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = [row.values.to_numpy().astype("<u4") for row in batch["ids"]]
-        yield pa.record_batch(
-            {
-                "doc_id": batch["doc_id"],
-                "n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(np.ascontiguousarray(x)).hexdigest() for x in ids], pa.string()),
-                "decoded_sha256": pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in batch["decoded"]], pa.string()),
-            }
-        )
-
-
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document and the text they decode to, as digests."""
     path = bpe.default_path()
-    encoded = bpe.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), path).select("doc_id", "ids")
-    return bpe.decode(encoded, path).mapInArrow(
-        _bpe_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    encoded = bpe.encode(_read(spark, sf_dir, "documents").select("doc_id", "text"), path, packed=True)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
     )
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that are hashed at once; a longer text is a slab of its own.
-SLAB_BYTES = 1_000_000
+SLAB_BYTES = 500_000
 _BYTE_BASE, _WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
 
