@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe, decontaminate, langid, lines, near
-from millrace.llm.frames import importable
+from millrace.llm.frames import prepare
 from millrace.sources.sinks import stage
 
 #: Texts that share next to nothing with any learned language go.
@@ -21,7 +21,7 @@ MIN_LANGUAGE_SCORE = 0.2
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages."""
-    importable(spark)
+    prepare(spark)
     return langid.keep_identified(docs, MIN_LANGUAGE_SCORE)
 
 
@@ -33,7 +33,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    importable(spark)
+    prepare(spark)
     return near.drop_near_duplicates(docs)
 
 
@@ -44,7 +44,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the text they decode to."""
-    importable(spark)
+    prepare(spark)
     path = bpe.default_path()
     found = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path), path, out="text")
     return found.withColumn("n_tokens", F.size("ids").cast("long"))
