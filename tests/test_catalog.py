@@ -8,9 +8,9 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from millrace.catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
 
 
@@ -37,6 +37,8 @@ def _rows(pdf):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
