@@ -156,8 +156,7 @@ def _split(page: pa.Table) -> tuple[np.ndarray, pa.Array]:
 def _bucket_words(pages: pa.Table, parts: int) -> tuple[np.ndarray, pa.Array]:
     """The distinct words of a bucket, by the part of the word table they belong to, sorted."""
     none = pa.array([], pa.large_string())
-    each = [none, *[pc.unique(_split(_unpack(page))[1]) for page in pages["page"]]]
-    words = pc.unique(pa.concat_arrays(each))
+    words = pc.unique(pa.concat_arrays([none, *[_split(_unpack(page))[1] for page in pages["page"]]]))
     words = words.take(pc.array_sort_indices(words))
     part = np.fromiter((zlib.crc32(w.encode()) % parts for w in words.to_pylist()), np.int64, len(words))
     order = np.argsort(part, kind="stable")
@@ -217,22 +216,21 @@ def _place(names: list[str], parts: int, packed: bool, schema: pa.Schema) -> Cal
         ids = np.concatenate([np.zeros(0, np.int32), *[x.flatten().to_numpy() for x in lists]])
         sizes = np.concatenate([np.zeros(0, np.int64), *[np.diff(x.offsets.to_numpy()) for x in lists]])
         starts = np.cumsum(sizes) - sizes
-        made = []
-        for page in pages["page"]:
-            docs = _unpack(page)
-            counts, flat = _split(docs)
-            placed = pc.index_in(flat, value_set=words).to_numpy(zero_copy_only=False)
-            n = sizes[placed]
-            ends = np.concatenate([[0], np.cumsum(n)])
-            values = ids[np.repeat(starts[placed] - ends[:-1], n) + np.arange(ends[-1])]
-            offsets = ends[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
-            if packed:
-                data = pa.py_buffer(values.astype("<u4"))
-                column = pa.BinaryArray.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer(4 * offsets), data])
-            else:
-                column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-            made.append(pa.table({c: docs[c] for c in names} | {"ids": column}))
-        return pa.concat_tables(made) if made else schema.empty_table()
+        if not len(pages):
+            return schema.empty_table()
+        docs = pa.concat_tables([_unpack(page) for page in pages["page"]])
+        counts, flat = _split(docs)
+        placed = pc.index_in(flat, value_set=words).to_numpy(zero_copy_only=False)
+        n = sizes[placed]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        values = ids[np.repeat(starts[placed] - ends[:-1], n) + np.arange(ends[-1])]
+        offsets = ends[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+        if packed:
+            data = pa.py_buffer(values.astype("<u4"))
+            column = pa.BinaryArray.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer(4 * offsets), data])
+        else:
+            column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+        return pa.table({c: docs[c] for c in names} | {"ids": column})
 
     return run
 
