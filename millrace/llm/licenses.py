@@ -32,55 +32,56 @@ BASE = {
 }
 
 #: label: (keywords, the family's name, its short identifier), as patterns over words.
+#: Whatever a name or an identifier matches has a keyword among its words, else its rules wouldn't run there.
 FAMILIES: dict[str, tuple[str, str, str]] = {
     "mit": ("mit expat", r"(?:mit|expat)(?: x11)?(?: style)?", "mit"),
     "mit-0": ("mit", r"mit (?:no attribution|0)", "mit 0"),
     "x11": ("x11", r"x11(?: mit)?", "x11"),
-    "apache-1": ("apache", r"apache(?: software)?(?: licen[sc]e)?(?: version| v)? ?1(?: [01])?", "apache 1 [01]"),
-    "apache-2": ("apache asl", r"(?:apache(?: software)?(?: licen[sc]e)?(?: version| v)? ?2(?: 0)?|asl 2(?: 0)?)", "apache 2 0"),
-    "gpl-1": ("gpl gnu", r"(?:gnu (?:general public licen[sc]e|gpl)|gpl)(?: version| v)? ?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
-    "gpl-2": ("gpl gnu gplv2", r"(?:gnu (?:general public licen[sc]e|gpl)|gpl)(?: version| v|v)? ?2(?: 0)?|gplv2", "gpl 2 0(?: only| or later)?"),
-    "gpl-3": ("gpl gnu gplv3", r"(?:gnu (?:general public licen[sc]e|gpl)|gpl)(?: version| v|v)? ?3(?: 0)?|gplv3", "gpl 3 0(?: only| or later)?"),
+    "apache-1": ("apache apache1", r"apache(?: software)?(?: licen[sc]e)?(?: version| v)? ?1(?: [01])?", "apache 1 [01]"),
+    "apache-2": ("apache apache2 asl", r"(?:apache(?: software)?(?: licen[sc]e)?(?: version| v)? ?2(?: 0)?|asl 2(?: 0)?)", "apache 2 0"),
+    "gpl-1": ("gpl gnu gpl1", r"(?:gnu (?:general public licen[sc]e|gpl)|gpl)(?: version| v)? ?1(?: 0)?", "gpl 1 0(?: only| or later)?"),
+    "gpl-2": ("gpl gnu gpl2 gplv gplv2", r"(?:gnu (?:general public licen[sc]e|gpl)|gpl)(?: version| v|v)? ?2(?: 0)?|gplv2", "gpl 2 0(?: only| or later)?"),
+    "gpl-3": ("gpl gnu gpl3 gplv gplv3", r"(?:gnu (?:general public licen[sc]e|gpl)|gpl)(?: version| v|v)? ?3(?: 0)?|gplv3", "gpl 3 0(?: only| or later)?"),
     "gpl": ("gpl gnu", r"gnu (?:general public licen[sc]e|gpl)", "gpl"),
-    "lgpl-2": ("lgpl gnu", r"(?:gnu (?:library|lesser) general public licen[sc]e|lgpl)(?: version| v)? ?2(?: 0)?", "lgpl 2 0(?: only| or later)?"),
-    "lgpl-2-1": ("lgpl gnu", r"(?:gnu lesser general public licen[sc]e|lgpl)(?: version| v)? ?2 1", "lgpl 2 1(?: only| or later)?"),
-    "lgpl-3": ("lgpl gnu", r"(?:gnu lesser general public licen[sc]e|lgpl)(?: version| v)? ?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    "lgpl-2": ("lgpl gnu lgpl2", r"(?:gnu (?:library|lesser) general public licen[sc]e|lgpl)(?: version| v)? ?2(?: 0)?", "lgpl 2 0(?: only| or later)?"),
+    "lgpl-2-1": ("lgpl gnu lgpl2", r"(?:gnu lesser general public licen[sc]e|lgpl)(?: version| v)? ?2 1", "lgpl 2 1(?: only| or later)?"),
+    "lgpl-3": ("lgpl gnu lgpl3", r"(?:gnu lesser general public licen[sc]e|lgpl)(?: version| v)? ?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
     "lgpl": ("lgpl gnu", r"gnu (?:lesser|library) general public licen[sc]e|gnu lgpl", "lgpl"),
-    "agpl-3": ("agpl gnu affero", r"(?:(?:gnu )?affero general public licen[sc]e|agpl)(?: version| v)? ?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    "agpl-3": ("agpl agpl3 affero", r"(?:(?:gnu )?affero general public licen[sc]e|agpl)(?: version| v)? ?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
     "agpl": ("agpl affero", r"(?:gnu )?affero general public licen[sc]e|gnu agpl", "agpl"),
     "gfdl": ("gfdl gnu", r"gnu free documentation licen[sc]e(?: version 1(?: [1-3])?)?", "gfdl 1 [1-3](?: only| or later)?"),
     "bsd-2": ("bsd freebsd", r"(?:(?:2 clause|simplified|two clause) bsd|bsd (?:2|two) clause|freebsd)", "bsd 2 clause"),
     "bsd-3": ("bsd", r"(?:(?:3 clause|new|revised|modified|three clause) bsd|bsd (?:3|three) clause)", "bsd 3 clause"),
     "bsd-4": ("bsd", r"(?:(?:4 clause|original|old|four clause) bsd|bsd (?:4|four) clause)", "bsd 4 clause"),
     "bsd-0": ("bsd 0bsd", r"(?:0bsd|zero clause bsd|bsd zero clause)", "0bsd"),
-    "bsd": ("bsd", r"(?:berkeley software distribution|bsd)(?: style)?", "bsd"),
-    "isc": ("isc", r"(?:isc|internet systems consortium)", "isc"),
-    "mpl-1": ("mpl mozilla", r"(?:mozilla public licen[sc]e|mpl)(?: version| v)? ?1(?: [01])?", "mpl 1 [01]"),
-    "mpl-2": ("mpl mozilla", r"(?:mozilla public licen[sc]e|mpl)(?: version| v)? ?2(?: 0)?", "mpl 2 0"),
-    "epl-1": ("epl eclipse", r"(?:eclipse public licen[sc]e|epl)(?: version| v)? ?1(?: 0)?", "epl 1 0"),
-    "epl-2": ("epl eclipse", r"(?:eclipse public licen[sc]e|epl)(?: version| v)? ?2(?: 0)?", "epl 2 0"),
+    "bsd": ("bsd berkeley", r"(?:berkeley software distribution|bsd)(?: style)?", "bsd"),
+    "isc": ("isc consortium", r"(?:isc|internet systems consortium)", "isc"),
+    "mpl-1": ("mpl mozilla mpl1", r"(?:mozilla public licen[sc]e|mpl)(?: version| v)? ?1(?: [01])?", "mpl 1 [01]"),
+    "mpl-2": ("mpl mozilla mpl2", r"(?:mozilla public licen[sc]e|mpl)(?: version| v)? ?2(?: 0)?", "mpl 2 0"),
+    "epl-1": ("epl eclipse epl1", r"(?:eclipse public licen[sc]e|epl)(?: version| v)? ?1(?: 0)?", "epl 1 0"),
+    "epl-2": ("epl eclipse epl2", r"(?:eclipse public licen[sc]e|epl)(?: version| v)? ?2(?: 0)?", "epl 2 0"),
     "edl": ("eclipse edl", r"eclipse distribution licen[sc]e(?: version| v)? ?1(?: 0)?", "edl 1 0"),
-    "cddl": ("cddl", r"(?:common development and distribution licen[sc]e|cddl)(?: version| v)?(?: ?1(?: [01])?)?", "cddl 1 [01]"),
-    "cpl": ("cpl common", r"(?:common public licen[sc]e|ibm public licen[sc]e)(?: version| v)? ?1(?: 0)?", "cpl 1 0"),
-    "eupl": ("eupl", r"(?:european union public licen[sc]e|eupl)(?: version| v)?(?: ?1(?: [0-2])?)?", "eupl 1 [0-2]"),
+    "cddl": ("cddl cddl1 distribution", r"(?:common development and distribution licen[sc]e|cddl)(?: version| v)?(?: ?1(?: [01])?)?", "cddl 1 [01]"),
+    "cpl": ("cpl common ibm", r"(?:common public licen[sc]e|ibm public licen[sc]e)(?: version| v)? ?1(?: 0)?", "cpl 1 0"),
+    "eupl": ("eupl eupl1 european", r"(?:european union public licen[sc]e|eupl)(?: version| v)?(?: ?1(?: [0-2])?)?", "eupl 1 [0-2]"),
     "artistic-1": ("artistic", r"artistic licen[sc]e(?: version)? 1(?: 0)?", "artistic 1 0"),
     "artistic-2": ("artistic", r"artistic licen[sc]e(?: version)? 2(?: 0)?", "artistic 2 0"),
     "boost": ("boost bsl", r"boost software licen[sc]e(?: version)?(?: 1(?: 0)?)?", "bsl 1 0"),
     "busl": ("busl business", r"business source licen[sc]e(?: version)?(?: 1(?: 1)?)?", "busl 1 1"),
     "zlib": ("zlib", r"zlib(?: libpng)?", "zlib"),
-    "libpng": ("libpng", r"(?:png reference library|libpng)", "libpng(?: 2 0)?"),
+    "libpng": ("libpng png", r"(?:png reference library|libpng)", "libpng(?: 2 0)?"),
     "unlicense": ("unlicense", r"(?:the )?unlicense", "unlicense"),
-    "wtfpl": ("wtfpl", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", "wtfpl"),
-    "cc0": ("cc0 creative", r"(?:cc0|creative commons zero|cc zero)(?: 1 0)?(?: universal)?", "cc0 1 0"),
+    "wtfpl": ("wtfpl fuck", r"(?:do what the fuck you want to public licen[sc]e|wtfpl)", "wtfpl"),
+    "cc0": ("cc0 cc creative", r"(?:cc0|creative commons zero|cc zero)(?: 1 0)?(?: universal)?", "cc0 1 0"),
     "cc-by": ("cc creative", r"(?:cc by|creative commons attribution)(?: (?:[1-4] [05]))?(?: international| unported)?", "cc by [1-4] [05]"),
     "cc-by-sa": ("cc creative", r"(?:cc by sa|creative commons attribution share ?alike)(?: (?:[1-4] [05]))?", "cc by sa [1-4] [05]"),
     "cc-by-nd": ("cc creative", r"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)(?: (?:[1-4] [05]))?", "cc by nd [1-4] [05]"),
     "cc-by-nc": ("cc creative", r"(?:cc by nc|creative commons attribution non ?commercial)(?: (?:[1-4] [05]))?", "cc by nc [1-4] [05]"),
     "cc-by-nc-sa": ("cc creative", r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: (?:[1-4] [05]))?", "cc by nc sa [1-4] [05]"),
     "cc-by-nc-nd": ("cc creative", r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)(?: (?:[1-4] [05]))?", "cc by nc nd [1-4] [05]"),
-    "odbl": ("odbl", r"(?:open database licen[sc]e|odbl)(?: v?1(?: 0)?)?", "odbl 1 0"),
-    "odc-by": ("odc", r"(?:open data commons attribution licen[sc]e|odc by)(?: v?1(?: 0)?)?", "odc by 1 0"),
-    "pddl": ("pddl", r"(?:public domain dedication and licen[sc]e|pddl)(?: 1(?: 0)?)?", "pddl 1 0"),
+    "odbl": ("odbl database", r"(?:open database licen[sc]e|odbl)(?: v?1(?: 0)?)?", "odbl 1 0"),
+    "odc-by": ("odc commons", r"(?:open data commons attribution licen[sc]e|odc by)(?: v?1(?: 0)?)?", "odc by 1 0"),
+    "pddl": ("pddl dedication", r"(?:public domain dedication and licen[sc]e|pddl)(?: 1(?: 0)?)?", "pddl 1 0"),
     "ofl": ("ofl sil", r"(?:sil open font licen[sc]e|ofl)(?: version)?(?: 1(?: [01])?)?", "ofl 1 [01]"),
     "psf": ("psf python", r"python(?: software foundation)? licen[sc]e(?: version)?(?: 2)?", "(?:psf|python) 2 0"),
     "php": ("php", r"php licen[sc]e(?: version)?(?: 3(?: [01]+)?)?", "php 3 [01]+"),
@@ -91,16 +92,16 @@ FAMILIES: dict[str, tuple[str, str, str]] = {
     "upl": ("upl universal", r"(?:universal permissive licen[sc]e|upl)(?: version)?(?: 1(?: 0)?)?", "upl 1 0"),
     "vim": ("vim", r"vim", "vim"),
     "w3c": ("w3c", r"w3c(?: software)?(?: notice and)?", "w3c"),
-    "afl": ("afl academic", r"(?:academic free licen[sc]e|afl)(?: version| v)? ?[1-3](?: [01])?", "afl [1-3] [01]"),
-    "osl": ("osl", r"(?:open software licen[sc]e|osl)(?: version| v)? ?[1-3](?: 0)?", "osl [1-3] 0"),
-    "mulan": ("mulan mulanpsl", r"mulan(?: permissive software licen[sc]e|psl)(?: version| v)?(?: ?2)?", "mulanpsl 2 0"),
-    "mspl": ("microsoft", r"microsoft public licen[sc]e", "ms pl"),
-    "msrl": ("microsoft", r"microsoft reciprocal licen[sc]e", "ms rl"),
-    "sspl": ("sspl", r"(?:server side public licen[sc]e|sspl)(?: version| v)?(?: ?1)?", "sspl 1 0"),
+    "afl": ("afl academic afl1 afl2 afl3", r"(?:academic free licen[sc]e|afl)(?: version| v)? ?[1-3](?: [01])?", "afl [1-3] [01]"),
+    "osl": ("osl osl1 osl2 osl3 software", r"(?:open software licen[sc]e|osl)(?: version| v)? ?[1-3](?: 0)?", "osl [1-3] 0"),
+    "mulan": ("mulan mulanpsl mulanpsl2", r"mulan(?: permissive software licen[sc]e|psl)(?: version| v)?(?: ?2)?", "mulanpsl 2 0"),
+    "mspl": ("microsoft ms", r"microsoft public licen[sc]e", "ms pl"),
+    "msrl": ("microsoft ms", r"microsoft reciprocal licen[sc]e", "ms rl"),
+    "sspl": ("sspl sspl1 server", r"(?:server side public licen[sc]e|sspl)(?: version| v)?(?: ?1)?", "sspl 1 0"),
     "elastic": ("elastic", r"elastic licen[sc]e(?: version| v)?(?: ?2(?: 0)?)?", "elastic 2 0"),
     "cecill": ("cecill", r"cecill(?: b| c)?(?: (?:version )?2(?: 1)?)?", "cecill 2 [01]"),
     "openrail": ("openrail rail", r"(?:creativeml |bigscience )?open ?rail(?: m)?", "(?:creativeml |bigscience )?openrail m"),
-    "llama": ("llama", r"llama [234](?: [0-9])? community", "llama[234]"),
+    "llama": ("llama llama2 llama3 llama4", r"llama [234](?: [0-9])? community", "llama[234]"),
 }
 # kind: (priority, confidence, pattern with {n} for the name and {i} for the identifier)
 KINDS: dict[str, tuple[int, float, str]] = {
@@ -138,7 +139,7 @@ def rules() -> list[dict]:
         add(label, {"mit": "mit", "apache-2": "apache", "cc-by-nc": "cc"}[label], 0, 0.9, phrase, True)
     for priority, score, pattern in KINDS.values():
         for label, (keywords, name, short) in FAMILIES.items():
-            add(label, keywords if "{n}" in pattern else f"{keywords} {short.split()[0]}", priority, score, pattern.replace("{n}", name).replace("{i}", short))
+            add(label, keywords, priority, score, pattern.replace("{n}", name).replace("{i}", short))
     for label in PLAIN_NAMES:
         add(label, FAMILIES[label][0], 6, 0.5, FAMILIES[label][1])
     return found

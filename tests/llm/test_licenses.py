@@ -51,3 +51,64 @@ def test_clashing_names_and_empty_table(spark):
     df = spark.createDataFrame([(1, "under the mit license", "kept")], "doc_id long, text string, words string")
     assert licenses.scan(df).first()["words"] == "kept"
     assert licenses.scan(df.limit(0)).collect() == []
+
+
+def _samples(parsed, longest=2):
+    """All strings of a parsed pattern; a repeat is taken its fewest and most times, ``longest`` times at most."""
+    found = [""]
+    for op, value in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            each = [chr(value)]
+        elif op == "IN":
+            each = [c for kind, x in value for c in ([chr(x)] if str(kind) == "LITERAL" else map(chr, range(x[0], x[1] + 1)))]
+        elif op == "SUBPATTERN":
+            each = _samples(value[-1], longest)
+        elif op == "BRANCH":
+            each = [x for branch in value[1] for x in _samples(branch, longest)]
+        elif op == "MAX_REPEAT":
+            once = _samples(value[2], longest)
+            each = [x * n for n in {value[0], min(value[1], longest)} for x in once]
+        else:
+            assert op in ("ASSERT", "ASSERT_NOT")
+            each = [""]
+        found = [a + b for a in found for b in each]
+    return list(dict.fromkeys(found))
+
+
+def _few(found, n=5):
+    return found[:: -(-len(found) // n)]
+
+
+def test_every_alternative_holds_a_keyword():
+    """What a pattern matches is never hidden from it by its keywords."""
+    for label, (keywords, name, short) in licenses.FAMILIES.items():
+        for pattern in (name, short):
+            for text in _samples(re._parser.parse(pattern)):
+                assert re.fullmatch(pattern, text)
+                assert set(keywords.split()) & set(text.split()), (label, text)
+    for rule in licenses.rules():
+        if rule["base"]:
+            assert any(set(rule["keywords"]) & set(x.split()) for x in _samples(re._parser.parse(rule["pattern"])))
+
+
+def test_gated_scan_equals_ungated(spark, monkeypatch):
+    texts = [f"licensed under the {x} in full" for _, name, _ in licenses.FAMILIES.values() for x in _few(_samples(re._parser.parse(name)))]
+    texts += [f"license {x} in full" for _, _, short in licenses.FAMILIES.values() for x in _few(_samples(re._parser.parse(short)))]
+    texts += [
+        "Licensed under the Common Development and Distribution License",
+        "licensed under the Apache2 license",
+        "released under the Open Database License",
+        "license: MS-PL",
+        "spdx-license-identifier: llama3",
+        "distributed under the GPLv 2",
+        "published under CC Zero",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    read = lambda: {r["doc_id"]: r["detections"] for r in licenses.scan(df).collect()}
+    gated = read()
+    assert all(gated.values())
+    table = licenses.rules()
+    every = sorted({k for r in table for k in r["keywords"]} | {w for t in texts for w in re.findall("[a-z0-9]+", t.lower())})
+    monkeypatch.setattr(licenses, "rules", lambda: [r | {"keywords": every} for r in table])
+    assert gated == read()
