@@ -7,11 +7,12 @@ potential.  Mentions with the same characters once separators, case and country
 codes are dropped share a skip potential, however far apart: each is tied to the
 next one like it, so a document has at most two edges a mention.  Loopy message
 passing gives each mention's label; a looser mention becomes a span if its label is
-a kind and a mention like it has that label too.
+a kind and a mention like it is given that label, or if the label's share reaches
+``ACCEPT`` and the mention passes the kind's check.
 
 Weights are learned by pseudo-likelihood from a bounded sample of documents.  Of the
-patterns' own mentions a share is shown without its telling marks, so that the
-model learns what a mention like it says.
+patterns' own mentions a share is shown as it would be written loosely, alone and
+with one like it, so that the model learns what loose forms and their ties say.
 
 Defined results: a null or empty text has no spans; matches that fail a check are
 dropped and not retried; equal spans of one kind count once; places are code points,
@@ -46,8 +47,10 @@ SAMPLE_ROWS = 20_000
 ROUNDS = 10
 #: Mentions farther apart aren't neighbours on the chain.
 CHAIN_CHARS = 40
-#: One in so many of the patterns' mentions is shown without its marks in learning.
+#: One in so many of the patterns' mentions is shown in a looser form in learning.
 MASKED = 3
+#: Least share of a looser mention's label, if the patterns found none like it.
+ACCEPT = 0.8
 
 _DOMAIN, _CARD, _PHONE = re.compile(DOMAIN), re.compile(CARD), re.compile(PHONE)
 # A match starts where a run of digits does, or nowhere in that run.
@@ -61,6 +64,7 @@ _LOOSE_MAIL = re.compile(
     r"(?:\x20?(?:\[dot\]|\(dot\)|\.)\x20?[A-Za-z0-9-]{1,64})+",
     re.I,
 )
+_LOCAL_PHONE = re.compile(r"(?:1[\x20./-])?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20./-])[0-9]{3}[\x20./-][0-9]{4}")
 _CUES = tuple(
     re.compile(rf"(?:{words})\W*$", re.I)
     for words in ("e-?mail|mail|contact", "ip|host|server|address", "card|visa|credit|payment", "tel|phone|call|fax|mobile")
@@ -130,15 +134,16 @@ class Mentions:
 
 
 def _loose(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    if not base:
-        # Without a given label there is nothing to be consistent with.
+    lower = text.lower()
+    spelled = "at]" in lower or "at)" in lower
+    if not spelled and not _DIGIT.search(text):
         return []
     hidden = list(text)
     for _, a, b in base:
         hidden[a:b] = "\0" * (b - a)
     text = "".join(hidden)
-    found = [(m.start(), m.end()) for m in _LOOSE_DIGITS.finditer(text) if len(_DIGIT.findall(m[0])) >= 7]
-    if "at]" in text.lower() or "at)" in text.lower():
+    found = [(m.start(), m.end()) for m in _LOOSE_DIGITS.finditer(text) if len(_DIGIT.findall(m[0])) >= 7 or _FOUR.fullmatch(m[0])]
+    if spelled:
         found += [(m.start(), m.end()) for m in _LOOSE_MAIL.finditer(text)]
     return found
 
@@ -170,13 +175,49 @@ def _marks(text: str, start: int, end: int) -> int:
         n > 19,
         " " in mention or "-" in mention,
         *[bool(c.search(before)) for c in _CUES],
+        13 <= n <= 19 and _luhn("".join(_DIGIT.findall(mention))),
+        _octets(mention),
+        n == len(mention),
+        text[max(0, start - 1) : start].isalnum() or text[end : end + 1].isalnum(),
     ]
     return sum(1 << i for i, x in enumerate(seen) if x)
 
 
-N_MARKS = 14
-#: Marks that a masked mention doesn't show: those its pattern rests on.
-_TELLING = 1 | 4 | 8 | 16 | 512
+N_MARKS = 18
+
+
+def _octets(mention: str) -> bool:
+    return bool(_FOUR.fullmatch(mention)) and all(int(x) <= 255 for x in re.findall("[0-9]+", mention))
+
+
+def _passes(label: int, text: str, start: int, end: int) -> bool:
+    """Whether a looser mention may be of a kind without one like it among the patterns' own."""
+    mention, before = text[start:end], text[max(0, start - 16) : start]
+    digits = "".join(_DIGIT.findall(mention))
+    if label == 1:
+        return bool(_LOOSE_MAIL.fullmatch(mention))
+    if text[max(0, start - 1) : start].isalnum() or text[end : end + 1].isalnum():
+        return False
+    if label == 2:
+        return _octets(mention) and ("[.]" in mention or bool(_CUES[1].search(before)))
+    if label == 3:
+        return 13 <= len(digits) <= 19 and _luhn(digits)
+    # Dates, book and order numbers have as many digits: the groups or a word before must tell.
+    return bool(_LOCAL_PHONE.fullmatch(mention)) or 7 <= len(digits) <= 15 and bool(_CUES[3].search(before))
+
+
+def _loosened(kind: int, mention: str) -> str:
+    """A mention of the patterns as it would be written loosely."""
+    form = zlib.crc32(mention.encode()) // MASKED % 3
+    if kind == 0:
+        return mention.replace("@", ("[at]", " [at] ", "(at)")[form])
+    if kind == 1:
+        return mention.replace(".", ("[.]", ",", "-")[form])
+    digits = "".join(_DIGIT.findall(mention))
+    if kind == 2:
+        return (".", "/", "_")[form].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    area, office, line = digits[-10:-7], digits[-7:-4], digits[-4:]
+    return (f"({area}) {office}-{line}", f"{area}.{office}.{line}", f"{area}-{office}-{line}")[form]
 
 
 def _row(marks: np.ndarray, before: np.ndarray, alike: np.ndarray) -> np.ndarray:
@@ -204,8 +245,9 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if label == 0 and alike[i] not in (0, 5):
                     continue  # what this one is, is the question
                 if label and zlib.crc32(text[a:b].encode()) % MASKED == 0:
-                    rows.append((marks & ~_TELLING, 5, label, label))
-                    rows.append((marks & ~_TELLING, 5, 5, 0))
+                    loose = _loosened(label - 1, text[a:b])
+                    marks_of = _marks(text[max(0, a - 16) : a] + loose + text[b : b + 1], min(a, 16), min(a, 16) + len(loose))
+                    rows += [(marks_of, 5, label, label), (marks_of, before[i], 5, label), (marks_of, 5, 5, label)]
                 rows.append((marks, before[i], alike[i], label))
         columns = zip(*rows, strict=True) if rows else [[]] * 4
         yield pa.record_batch({n: pa.array(c, pa.int64()) for n, c in zip(("marks", "before", "alike", "label"), columns, strict=True)})
@@ -215,7 +257,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: i
     """Weights (labels x features) by pseudo-likelihood, from about ``sample`` documents.
 
     The driver gets counts of patterns of marks and labels, of which there are at most
-    2 ** 14 * 6 * 6 * 5 whatever the corpus, and a few hundred in fact.
+    2 ** 18 * 6 * 6 * 5 whatever the corpus, and a few hundred in fact.
     """
     n = docs.count()
     parts = 1 << 30
@@ -283,14 +325,16 @@ def all_spans(text: str | None, weights: np.ndarray) -> tuple[list[tuple[int, in
         return [], []
     base = base_spans(text)
     found = Mentions(text, base)
-    if not len(found.given) or found.given.all() or not found.skip:
+    if not len(found.given) or found.given.all():
         return base, base
-    labels = marginals(found, weights).argmax(1)
-    added = [
-        (int(labels[i]) - 1, *place)
-        for i, place in enumerate(found.places)
-        if not found.given[i] and labels[i] and int(labels[i]) in found.known[i]
-    ]
+    shares = marginals(found, weights)
+    added = []
+    for i, (a, b) in enumerate(found.places):
+        label = int(shares[i].argmax())
+        if found.given[i] or not label:
+            continue
+        if label in found.known[i] or shares[i, label] >= ACCEPT and _passes(label, text, a, b):
+            added.append((label - 1, a, b))
     return base, sorted({*base, *added})
 
 

@@ -76,3 +76,24 @@ def test_registered_query_and_odd_rows(spark):
     got = sorted((len(r["base"]), len(r["spans"])) for r in pii.find(df, pii.learn(df)).collect())
     assert got == [(0, 0)] * 3 + [(1, 1)] * 2
     assert pii.find(df.limit(0), pii.learn(df.limit(0))).collect() == []
+
+
+def test_field_adds_mentions_without_known_ones(spark):
+    """Loose mentions alone, and those beside other kinds, become spans; numbers that fail a check don't."""
+    weights = pii.learn(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+
+    def added(text):
+        base, spans = pii.all_spans(text, weights)
+        return {(pii.KINDS[k], text[a:b]) for k, a, b in set(spans) - set(base)}
+
+    phones = {("phone", "(743) 555-3824"), ("phone", "743.555.3824")}
+    assert added("call (743) 555-3824 today, or by phone 743.555.3824") == phones
+    assert added("call (743) 555-3824 or write to x@y.org, or phone 743.555.3824") == phones
+    mail = "jane [at] example [dot] com"
+    assert added(f"mail {mail} now, again: {mail}") == {("email", mail)}
+    assert pii.all_spans(f"{mail} and {mail}", weights)[1] == [(0, 0, 27), (0, 32, 59)]
+    assert added("from 4041.8949.7460.8795 to 4041.8949.7460.8795") == {("card", "4041.8949.7460.8795")}
+    assert added("it is 8[.]8[.]4[.]4 here") == {("ip", "8[.]8[.]4[.]4")}
+    plain = "Order 4041.8949.7460.8796 of 2021-03-04 12:30:11, 1,234,567,890 pieces, ids 5551234567 and 5551234567, 1,2,3,4."
+    assert added(plain) == set()
+    assert pii.all_spans("no digits here", weights) == ([], [])
