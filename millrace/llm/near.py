@@ -8,7 +8,8 @@ masks with one symbol left out, and documents that share a key are candidates.
 pairs under that distance are found; what decides is the exact similarity of the
 full sets (of 64-bit shingle hashes).
 
-Groups of copies stay linear: documents with equal sets are one node; a key ties
+Groups of copies stay linear: texts with equal sets are one node; texts of one id
+are linked; a key ties
 its nodes to its smallest one; pairs within a component need no further look.  Only
 nodes of different components that share a key are compared with each other.
 Shingles that no other of these nodes has can't be common to any pair; what is left
@@ -19,7 +20,7 @@ and signatures decide which sets are compared; only links leave a block.
 Defined results: a null text, one without words and a row without id are linked with
 nothing; a text of fewer words than a shingle is one shingle; rows that repeat an id
 are one document, linked if any of its texts is; a similarity at the threshold
-exactly is a link.
+exactly is a link; a threshold under 80 percent is refused.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ from millrace.sources.sinks import stage
 
 SHINGLE_WORDS = 5
 PERCENT = 80
+#: The chunks and FAR find next to all pairs at this similarity, and too few below it.
+LEAST_PERCENT = 80
 SYMBOLS, CHUNK, BITS = 50, 5, 16
 #: Signatures that differ in more symbols aren't compared in full after the first
 #: round: at a similarity of 0.8 the chance of that is below one in 10 ** 8.
@@ -62,6 +65,11 @@ def shingle_sets(texts: pa.StringArray, size: int) -> Iterator[np.ndarray]:
                 yield np.zeros(0, np.uint64)
 
 
+def _class(found: np.ndarray) -> bytes:
+    """128 bits that equal sets share."""
+    return np.array([mix(found, s).sum(dtype=np.uint64) for s in (11, 12)], np.uint64).tobytes()
+
+
 def _fingerprints(size: int) -> Callable:
     rng = np.random.default_rng(20)
     factors = rng.integers(0, 1 << 63, SYMBOLS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -76,8 +84,7 @@ def _fingerprints(size: int) -> Callable:
                     classes.append(None)
                     signatures.append(None)
                     continue
-                sums = [mix(found, s).sum(dtype=np.uint64) for s in (11, 12)]
-                classes.append(np.array(sums, np.uint64).tobytes())
+                classes.append(_class(found))
                 least = np.empty(SYMBOLS, np.uint64)
                 for j in range(SYMBOLS):
                     least[j] = (found * factors[j] + shifts[j]).min()
@@ -110,8 +117,10 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(size: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [s.astype("<u8").tobytes() for s in shingle_sets(batch["text"], size)]
-            yield pa.record_batch({"node": batch["node"], "set": pa.array(found, pa.binary())})
+            # An id may have other texts, too.
+            own = [s.astype("<u8").tobytes() if len(s) and _class(s) == c.as_py() else None for s, c in zip(shingle_sets(batch["text"], size), batch["class"], strict=True)]
+            found = pa.array(own, pa.binary())
+            yield pa.record_batch({"node": batch["node"], "set": found}).filter(found.is_valid())
 
     return run
 
@@ -177,16 +186,21 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """Add ``n_shingles``, ``component_id`` (the smallest id of the group) and ``kept`` to each row."""
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"percent is {percent}, but signatures are made for {LEAST_PERCENT} at least")
     plain, names = plain_names(docs)
     kind = plain.schema[names[doc_id]].dataType.simpleString()
     rows = plain.select(F.col(names[doc_id]).alias("doc"), F.col(names[text]).cast("string").alias("text"))
     prints = f"doc {kind}, n_shingles long, class binary, signature binary"
     prints = stage(rows.mapInArrow(_fingerprints(size), prints), "fingerprints")
     nodes = prints.filter("class IS NOT NULL AND doc IS NOT NULL").groupBy("class")
-    nodes = stage(nodes.agg(F.min("doc").alias("node"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n")), "nodes")
-    labels = _node_components(nodes, rows.filter("doc IS NOT NULL"), size, percent, kind)
-    named = nodes.join(labels, "node", "left").select("class", "node", F.coalesce("component", "node").alias("component"))
-    # Texts of one id and classes of one component meet in the smallest id.
+    nodes = nodes.agg(F.min("doc").alias("doc"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
+    nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    labels = stage(_node_components(nodes, rows.filter("doc IS NOT NULL"), _ties(prints, nodes), size, percent), "labels")
+    # A component is named by the smallest id in it.
+    least = labels.join(nodes.select("node", "doc"), "node").groupBy("component").agg(F.min("doc").alias("least"))
+    labels = labels.join(least, "component").select("node", "least")
+    named = nodes.join(labels, "node", "left").select("class", F.coalesce("least", "doc").alias("component"))
     of = prints.select("doc", "n_shingles", "class").distinct().join(named, "class", "left")
     of = of.select(F.col("doc"), F.col("class"), F.col("n_shingles"), F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc")).alias("component_id"))
     of = of.groupBy("doc").agg(F.min("component_id").alias("component_id"), F.max("n_shingles").alias("n_shingles"))
@@ -201,29 +215,35 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     return named_again(near_duplicates(plain, names[doc_id], names[text], **options).filter("kept"), names)
 
 
-def _node_components(nodes: DataFrame, docs: DataFrame, size: int, percent: int, kind: str) -> DataFrame:
-    keys = nodes.select("node", "signature").mapInArrow(_keys, f"key long, node {kind}")
+def _ties(prints: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between the nodes of an id with several texts."""
+    texts = prints.filter("class IS NOT NULL AND doc IS NOT NULL").select("doc", "class", F.xxhash64("class").alias("h"))
+    many = texts.groupBy("doc").agg(F.min("h").alias("x"), F.max("h").alias("y")).filter("x < y").select("doc")
+    of = stage(texts.join(many, "doc").select("doc", "class").distinct().join(nodes.select("class", "node"), "class").select("doc", "node"), "texts")
+    return of.join(of.groupBy("doc").agg(F.min("node").alias("a")), "doc").filter("a < node").select("a", F.col("node").alias("b"))
+
+
+def _node_components(nodes: DataFrame, docs: DataFrame, ties: DataFrame, size: int, percent: int) -> DataFrame:
+    keys = nodes.select("node", "signature").mapInArrow(_keys, "key long, node long")
     centers = keys.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("last")).filter("center < last")
     shared = stage(keys.join(centers.select("key", "center"), "key"), "shared")
-    wanted = shared.select("node").distinct()
-    texts = docs.join(wanted, docs["doc"] == wanted["node"]).select("node", "text")
-    sets = stage(texts.mapInArrow(_sets(size), f"node {kind}, set binary"), "sets")
+    wanted = shared.select("node").distinct().join(nodes.select("node", "doc", "class"), "node")
+    texts = docs.join(wanted, "doc").select("node", "class", "text")
+    sets = stage(texts.mapInArrow(_sets(size), "node long, set binary"), "sets")
     # Each key's nodes against its smallest one.
     stars = shared.filter("node > center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     both = stars.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-    links = both.select("a", "b", "set_a", "set_b").mapInArrow(_similar(percent), f"a {kind}, b {kind}")
-    labels = components(links)
+    links = both.select("a", "b", "set_a", "set_b").mapInArrow(_similar(percent), "a long, b long")
+    labels = components(links.unionByName(ties))
     # Nodes of one key that are still apart, and how much of each may be common to two.
     placed = shared.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stage(_apart(placed), "apart")
-    tokens = sets.join(placed.select("node").distinct(), "node").select("node", "set").mapInArrow(_tokens, f"node {kind}, token int")
+    tokens = sets.join(placed.select("node").distinct(), "node").select("node", "set").mapInArrow(_tokens, "node long, token int")
     lone = tokens.groupBy("token").agg(F.count("*").alias("times"), F.min("node").alias("node")).filter("times = 1")
     lone = lone.groupBy("node").agg(F.count("*").alias("lone"))
-    # An id with several texts has several sets; nothing is known of each one's own part.
-    sizes = nodes.groupBy("node").agg(F.max("n").alias("n"), F.count("*").alias("texts"), F.first("signature").alias("signature"))
-    sizes = sizes.join(lone, "node", "left")
-    common = F.col("n") - F.when(F.col("texts") == 1, F.coalesce("lone", F.lit(0))).otherwise(0)
+    sizes = nodes.select("node", "n", "signature").join(lone, "node", "left")
+    common = F.col("n") - F.coalesce("lone", F.lit(0))
     sizes = sizes.select("node", "signature", "n", common.alias("common")).filter(100 * F.col("common") >= percent * F.col("n"))
     placed = stage(_apart(placed.join(sizes, "node")), "open")
     ends = placed.groupBy("key").agg(F.min("node").alias("a"))
@@ -240,7 +260,7 @@ def _node_components(nodes: DataFrame, docs: DataFrame, size: int, percent: int,
         return labels
     buckets = max(3 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(amount / BUCKET_SHINGLES))
     dealt = members.withColumn("bucket", F.pmod(F.xxhash64("family", "i", "j"), F.lit(buckets)).cast("int"))
-    more = dealt.join(sets, "node").groupBy("bucket").applyInArrow(_across(percent), f"a {kind}, b {kind}")
+    more = dealt.join(sets, "node").groupBy("bucket").applyInArrow(_across(percent), "a long, b long")
     tied = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
     return components(tied.unionByName(more))
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from millrace.llm import near
 from millrace.llm.components import components
 
@@ -76,3 +78,32 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7), (101, 100)], "a long, b long")
     found = {r["node"]: r["component"] for r in components(links).collect()}
     assert found == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+
+
+def test_ids_with_different_texts(spark):
+    """Each text of an id is compared for itself, and links carry on through the id."""
+    rng = random.Random(7)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    near_to = lambda words: [*words[:-1], "other"]
+    a, b, c, d = text(60), text(60), text(40), text(900)
+    docs = [(1, a), (5, near_to(a)), (5, b), (7, near_to(b)), (8, c), (8, d), (9, near_to(c)), (10, near_to(d)), (11, text(50))]
+    docs = [(i, " ".join(w)) for i, w in docs] + [(12, ""), (12, docs[-1][1][0]), (5, None)]
+    # Families of texts that only the second round compares.
+    for i in range(20, 40):
+        base = text(80)
+        docs += [(i, " ".join(base)), (i, " ".join(text(400))), (i + 20, " ".join(near_to(base))), (i + 40, " ".join(["first", *near_to(base)[1:]]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = near.near_duplicates(df, size=4, percent=80).collect()
+    want = _brute(docs, 4, 80)
+    assert want[7] == 1 and want[10] == want[9] == 8
+    assert len(found) == len(docs)
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+    assert all(r["component_id"] == want[r["doc_id"]] for r in found)
+    named = df.selectExpr("concat('d', 100 + doc_id) AS doc_id", "text")
+    found = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(named, size=4, percent=80).collect()}
+    assert found == {f"d{100 + i}": f"d{100 + j}" for i, j in want.items()}
+
+
+def test_thresholds_that_signatures_cannot_serve_are_refused(spark):
+    with pytest.raises(ValueError, match="percent"):
+        near.near_duplicates(spark.createDataFrame([], "doc_id long, text string"), percent=79)
