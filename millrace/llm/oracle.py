@@ -1,6 +1,6 @@
 """The same results as SQL, where SQL can express them."""
 
-from millrace.llm import decontaminate, lines
+from millrace.llm import codes, decontaminate, lines
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -77,10 +77,46 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
+
+
+def _op13() -> str:
+    """All rounds, one after the other."""
+    floor_div = "(total - ((total % n) + n) % n) // n"
+    steps = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""p AS MATERIALIZED (SELECT r, part, e[part * len(e) // {codes.PARTS} + 1 : (part + 1) * len(e) // {codes.PARTS}] AS x
+            FROM v, (SELECT unnest(range({codes.PARTS})) AS part))""",
+        f"""c0 AS MATERIALIZED (SELECT part, dense_rank() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM p JOIN v USING (r)
+            WHERE vec_id IN (SELECT DISTINCT vec_id FROM v ORDER BY vec_id LIMIT {codes.ENTRIES}))""",
+    ]
+    for t in range(codes.ROUNDS + 1):
+        far = "list_sum(list_transform(list_zip(p.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+        steps.append(f"a{t} AS MATERIALIZED (SELECT p.r, p.part, min({far} * {codes.ENTRIES} + c.entry) AS k FROM p JOIN c{t} c USING (part) GROUP BY ALL)")
+        if t < codes.ROUNDS:
+            steps.append(
+                f"""c{t + 1} AS MATERIALIZED (WITH each AS (SELECT part, k % {codes.ENTRIES} AS entry, unnest(x) AS y, unnest(range(len(x))) AS i FROM a{t} JOIN p USING (r, part)),
+                sums AS (SELECT part, entry, i, sum(y)::BIGINT AS total, count(*) AS n FROM each GROUP BY ALL),
+                moved AS (SELECT part, entry, list({floor_div} ORDER BY i) AS x FROM sums GROUP BY ALL)
+                SELECT part, entry, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN moved m USING (part, entry))"""
+            )
+    last = codes.ROUNDS
+    steps.append(
+        f"""coded AS (SELECT r, string_agg(printf('%02x', (k % {codes.ENTRIES})::INT), '' ORDER BY part) AS code, sum(k // {codes.ENTRIES})::BIGINT AS error FROM a{last} GROUP BY r)"""
+    )
+    return f"""WITH {", ".join(steps)}
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+           (SELECT sha256(string_agg(y::VARCHAR, ',' ORDER BY part, entry, i)) FROM (SELECT part, entry, unnest(x) AS y, unnest(range(len(x))) AS i FROM c{last})) AS codebooks_sha256
+    FROM v JOIN coded USING (r)"""
+
+
+OP13 = _op13()
+
 ORACLE: dict[str, str] = {
     "op2_lines": OP2,
     "op3_decontaminate": OP3,
     "op7_topk": OP7,
     "op8_repeats": OP8,
     "op9_minhash": OP9,
+    "op13_codes": OP13,
 }
