@@ -1,6 +1,6 @@
 """The same results as SQL, where SQL can express them."""
 
-from millrace.llm import codes, decontaminate, lines
+from millrace.llm import codes, decontaminate, lexical, lines
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -78,6 +78,23 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_TERM}') AS w FROM documents),
+sized AS (SELECT r, doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sized),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+q AS (SELECT item_id, text, term, count(*)::BIGINT AS repeats
+      FROM (SELECT item_id, text, unnest(regexp_extract_all({_LOWER}, '{_TERM}')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, total),
+s AS (SELECT item_id, text, doc_id, r, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words))))::BIGINT AS score
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN sized USING (r), total GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM s WHERE score > 0) WHERE rank <= {lexical.K}
+"""
+
 
 def _op13() -> str:
     """All rounds, one after the other."""
@@ -118,5 +135,6 @@ ORACLE: dict[str, str] = {
     "op7_topk": OP7,
     "op8_repeats": OP8,
     "op9_minhash": OP9,
+    "op12_lexical": OP12,
     "op13_codes": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, codes, decontaminate, langid, licenses, lines, near, pages, pii, repeats, topk
+from millrace.llm import bpe, codes, decontaminate, langid, lexical, licenses, lines, near, pages, pii, repeats, topk
 from millrace.llm.frames import prepare
 
 
@@ -111,6 +111,12 @@ def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 documents that match each benchmark item's terms best."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, _read(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The code of every vector, and what it loses."""
     vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
@@ -128,5 +134,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_minhash": op9_minhash,
     "op10_pages": op10_pages,
+    "op12_lexical": op12_lexical,
     "op13_codes": op13_codes,
 }
