@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, codes, decontaminate, langid, lexical, licenses, lines, near, pages, pii, repeats, topk
+from millrace.llm import bpe, codes, decontaminate, fingerprints, langid, lexical, licenses, lines, near, pages, pii, repeats, topk
 from millrace.llm.frames import prepare
 
 
@@ -111,6 +111,11 @@ def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and of its edited text, and how alike they are."""
+    return fingerprints.compare_edited(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 documents that match each benchmark item's terms best."""
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -134,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_repeats": op8_repeats,
     "op9_minhash": op9_minhash,
     "op10_pages": op10_pages,
+    "op11_fingerprints": op11_fingerprints,
     "op12_lexical": op12_lexical,
     "op13_codes": op13_codes,
 }
