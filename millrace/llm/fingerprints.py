@@ -2,16 +2,15 @@
 
 A text is the multiset of its words.  For every sample and word, hashes give two
 gamma-distributed numbers r and c, both of shape 2, and a uniform b; a word that
-occurs n times gets t = floor(ln n / r + b) and the value ln c - r * (t + 1 - b).
+occurs n times gets t = floor(ln n / r + b) and the value c * exp(-r * (t + 1 - b)).
 The word and t of the smallest value are the sample.  Two texts have the same sample
 with a probability equal to their generalised Jaccard similarity, the sum of the
 smaller counts by the sum of the larger ones.  As the value is made from sample, word
 and t alone, equal values stand for equal samples; a fingerprint holds 16 bits of each.
 
-Documents are dealt into buckets by a hash of their id.  Within a bucket r, c and b
-are computed once for each word and meet the counts of all texts that hold it; a
-bucket is bounded in bytes of text, and so is every list.  After the texts have come
-to their buckets nothing but fingerprints is shuffled.
+Documents are dealt into buckets of bounded size by a hash of their id.  There each
+word is counted in both texts and sampled once for both, so that after the texts have
+come to their buckets nothing but fingerprints is shuffled.
 
 Defined results: a null text is an empty one; a text without words has the empty
 fingerprint, which is like itself and unlike any other; equal texts have equal
@@ -33,7 +32,7 @@ from millrace.llm.frames import named_again, parts_for, plain_names, words_of
 from millrace.sources.sinks import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
-SAMPLES = 64
+SAMPLES = 32
 #: Bytes of text in a bucket, and ids in a block of their order.
 BUCKET_BYTES, ORDER_ROWS = 16_000_000, 1_000_000
 _DIGITS = 4
@@ -72,17 +71,16 @@ def _samples(rows: DataFrame, texts: list[str], samples: int) -> DataFrame:
     words = words.select("bucket", "row", "side", F.explode("words").alias("word")).select("bucket", "row", "side", F.xxhash64("word").alias("x"))
     counts = words.groupBy("bucket", "row", "x").agg(*[F.count_if(F.col("side") == i).alias(f"n{i}") for i in names])
     logs = [f"CASE WHEN n{i} > 0 THEN ln(n{i}) END AS s{i}" for i in names]
-    holders = F.collect_list(F.struct("row", *[f"s{i}" for i in names]))
-    terms = counts.selectExpr("bucket", "row", "x", *logs).groupBy("bucket", "x").agg(holders.alias("holders"))
+    counts = counts.selectExpr("bucket", "row", "x", *logs)
     # A row a sample keeps the generated code small enough to be compiled.
-    drawn = terms.select("bucket", "x", "holders", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("j"))
-    drawn = drawn.selectExpr("bucket", "holders", "j", "xxhash64(x, j, 0) AS h0", "xxhash64(x, j, 1) AS h1", "xxhash64(x, j, 2) AS h2")
+    drawn = counts.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+    sides = [f"s{i}" for i in names]
+    drawn = drawn.selectExpr("bucket", "row", "j", *sides, "xxhash64(x, j, 0) AS h0", "xxhash64(x, j, 1) AS h1", "xxhash64(x, j, 2) AS h2")
     uniform = f"(shiftrightunsigned(h2, 11) * {2.0**-53!r}D)"
-    drawn = drawn.selectExpr("bucket", "holders", "j", f"{_gamma('h0')} AS r", f"{_gamma('h1')} AS c", f"{uniform} AS b")
+    drawn = drawn.selectExpr("bucket", "row", "j", *sides, f"{_gamma('h0')} AS r", f"{_gamma('h1')} AS c", f"{uniform} AS b")
     # The value for t = 0, which is what a word that occurs once has.
-    drawn = drawn.selectExpr("bucket", "holders", "j", "r", "b", "ln(c) - r * (1 - b) AS once")
-    each = drawn.selectExpr("bucket", "j", "r", "b", "once", "inline(holders)")
-    value = "CASE WHEN s{i} > 0 THEN once - r * floor(s{i} / r + b) WHEN s{i} = 0 THEN once END"
+    each = drawn.selectExpr("bucket", "row", "j", *sides, "r", "b", "c * exp(-r * (1 - b)) AS once")
+    value = "CASE WHEN s{i} = 0 THEN once WHEN s{i} > 0 THEN once * exp(-r * floor(s{i} / r + b)) END"
     found = each.groupBy("bucket", "row", "j").agg(*[F.min(F.expr(value.format(i=i))).alias(f"m{i}") for i in names])
     digits = [F.lpad(F.lower(F.hex(F.xxhash64(f"m{i}").bitwiseAND(16**_DIGITS - 1))), _DIGITS, "0").alias(f"d{i}") for i in names]
     found = found.select("bucket", "row", F.struct("j", *[F.when(F.col(f"m{i}").isNotNull(), d).alias(f"d{i}") for i, d in zip(names, digits, strict=True)]).alias("d"))

@@ -32,7 +32,7 @@ def _samples(text, samples):
             r, c = _gamma(_hash(0, x, 4)), _gamma(_hash(1, x, 4))
             b = (_hash(2, x, 4) >> 11) * 2.0**-53
             t = math.floor(math.log(n) / r + b)
-            values.append((math.log(c) - r * (t + 1 - b), word, t))
+            values.append((c * math.exp(-r * (t + 1 - b)), word, t))
         out.append(min(values))
     return out
 
