@@ -149,23 +149,25 @@ def _similar(percent: int) -> Callable:
 
 
 def _across(percent: int) -> Callable:
-    """Links between nodes of different components within the blocks of a bucket."""
+    """Links that join components within the blocks of a bucket: for each two blocks fewer than components."""
 
     def run(table: pa.Table) -> pa.Table:
-        family, component = (table[c].combine_chunks().dictionary_encode().indices.to_numpy() for c in ("family", "component"))
+        family, component = table["family"].to_numpy(), table["component"].to_numpy()
         i, j, block, n, common = (table[c].to_numpy() for c in ("i", "j", "block", "n", "common"))
-        nodes, sets = table["node"].combine_chunks(), [np.frombuffer(x.as_buffer(), "<u8") for x in table["set"]]
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in table["set"]]
         symbols = np.frombuffer(b"".join(table["signature"].to_pylist()), "<u2").reshape(-1, SYMBOLS)
-        order = np.lexsort((j, i, family))
+        order = np.lexsort((table["node"].to_numpy(), j, i, family))
         cuts = np.flatnonzero((np.diff(family[order]) != 0) | (np.diff(i[order]) != 0) | (np.diff(j[order]) != 0)) + 1
         left, right = [], []
         for piece in np.split(order, cuts):
             inner = i[piece[0]] == j[piece[0]]
             rows = piece if inner else piece[block[piece] == i[piece[0]]]
             columns = piece if inner else piece[block[piece] == j[piece[0]]]
+            # Components that a link has joined are one from then on.
+            joined = component.copy()
             for place, row in enumerate(rows):
                 others = columns[place + 1 :] if inner else columns
-                others = others[component[others] != component[row]]
+                others = others[joined[others] != joined[row]]
                 # |x & y| / |x | y| >= t needs |x & y| >= t / (1 + t) * (|x| + |y|).
                 most = np.minimum(common[others], common[row])
                 others = others[(100 + percent) * most >= percent * (n[others] + n[row])]
@@ -174,14 +176,22 @@ def _across(percent: int) -> Callable:
                     sizes = np.array([len(sets[x]) for x in others])
                     both = np.isin(np.concatenate([sets[x] for x in others]), sets[row])
                     both = np.add.reduceat(both.astype(np.int64), np.cumsum(sizes) - sizes)
-                    close = others[100 * both >= percent * (sizes + len(sets[row]) - both)]
-                    left += [row] * len(close)
-                    right += close.tolist()
-        return pa.table({"a": nodes.take(pa.array(left, pa.int64())), "b": nodes.take(pa.array(right, pa.int64()))})
+                    for other in others[100 * both >= percent * (sizes + len(sets[row]) - both)]:
+                        if joined[other] != joined[row]:
+                            left.append(component[row])
+                            right.append(component[other])
+                            joined[piece[joined[piece] == joined[other]]] = joined[row]
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
 
     return run
 
 
+def _by_least(links: DataFrame, node: str, other: str) -> DataFrame:
+    """The same ties with a node's others, at most as many as keys, tied to the smallest of them."""
+    met = links.groupBy(node).agg(F.collect_set(other).alias("met")).withColumn("a", F.array_min("met"))
+    return met.select("a", F.explode(F.array_append("met", F.col(node))).alias("b")).filter("a != b").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -235,7 +245,7 @@ def _node_components(nodes: DataFrame, docs: DataFrame, ties: DataFrame, size: i
     both = stars.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
     links = both.select("a", "b", "set_a", "set_b").mapInArrow(_similar(percent), "a long, b long")
-    labels = components(links.unionByName(ties))
+    labels = components(_by_least(links, "b", "a").unionByName(ties))
     # Nodes of one key that are still apart, and how much of each may be common to two.
     placed = shared.select("key", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = stage(_apart(placed), "apart")
@@ -247,7 +257,7 @@ def _node_components(nodes: DataFrame, docs: DataFrame, ties: DataFrame, size: i
     sizes = sizes.select("node", "signature", "n", common.alias("common")).filter(100 * F.col("common") >= percent * F.col("n"))
     placed = stage(_apart(placed.join(sizes, "node")), "open")
     ends = placed.groupBy("key").agg(F.min("node").alias("a"))
-    family = components(placed.join(ends, "key").select("a", F.col("node").alias("b")))
+    family = components(_by_least(placed.join(ends, "key").select("a", "node"), "node", "a"))
     members = placed.select("node", "component", "signature", "n", "common").distinct()
     members = members.join(family.withColumnRenamed("component", "family"), "node")
     blocks = members.groupBy("family").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
@@ -261,8 +271,12 @@ def _node_components(nodes: DataFrame, docs: DataFrame, ties: DataFrame, size: i
     buckets = max(3 * docs.sparkSession.sparkContext.defaultParallelism, math.ceil(amount / BUCKET_SHINGLES))
     dealt = members.withColumn("bucket", F.pmod(F.xxhash64("family", "i", "j"), F.lit(buckets)).cast("int"))
     more = dealt.join(sets, "node").groupBy("bucket").applyInArrow(_across(percent), "a long, b long")
-    tied = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return components(tied.unionByName(more))
+    # Links between components; one of a single node has the node's name.
+    merged = components(more).withColumnRenamed("component", "of").withColumnRenamed("node", "was")
+    alone = merged.join(labels, merged["was"] == labels["node"], "left_anti")
+    labels = labels.join(merged, labels["component"] == merged["was"], "left")
+    labels = labels.select("node", F.coalesce("of", "component").alias("component"))
+    return labels.unionByName(alone.select(F.col("was").alias("node"), F.col("of").alias("component")))
 
 
 def _apart(placed: DataFrame) -> DataFrame:

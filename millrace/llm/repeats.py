@@ -91,7 +91,7 @@ def _outline(window: int, prefix: int) -> Callable:
 def _whole(words: Words, salt: int) -> np.ndarray:
     """A hash of each text's words and their order."""
     order = np.arange(len(words.hashes)) - np.repeat(words.firsts[:-1], words.counts)
-    each = mix(mix(words.hashes, salt) ^ mix(order.astype(np.uint64), salt))
+    each = mix(words.hashed(salt) ^ mix(order.astype(np.uint64), salt))
     run = np.zeros(len(each) + 1, np.uint64)
     np.cumsum(each, out=run[1:])
     return mix((run[words.firsts[1:]] - run[words.firsts[:-1]]) ^ words.counts.astype(np.uint64))

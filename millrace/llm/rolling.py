@@ -1,20 +1,20 @@
 """Hashes of words and word runs of many texts at once, as numpy arrays.
 
-Used inside tasks on slabs of bounded size.  A run's hash is a polynomial over its
-words' hashes, so every run of k words costs the same whatever k is.
+Used inside tasks on slabs of bounded size.  A word is hashed from its bytes; a run's
+hash is joined from those of shorter runs, in a number of steps that grows with the
+logarithm of its words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text that are hashed at once; a longer text is a slab of its own.
 SLAB_BYTES = 500_000
-_BYTE_BASE, _WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -25,27 +25,9 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
-def _byte_values(lower: bool) -> np.ndarray:
-    codes = np.arange(256)
-    if lower:
-        codes = np.where((codes >= 65) & (codes <= 90), codes + 32, codes)
-    return mix(codes.astype(np.uint64), 7)
-
-
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base ** i and its inverse for i in 0..n, modulo 2 ** 64."""
-    held = _powers.get(int(base))
-    if held is None or len(held[0]) <= n:
-        size = max(n + 1, SLAB_BYTES + 1)
-        inverse = np.uint64(pow(int(base), -1, 1 << 64))
-        held = tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(size, b, np.uint64)])) for b in (base, inverse))
-        if size <= 2 * SLAB_BYTES:
-            _powers[int(base)] = held
-    return held
+def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of two neighbouring runs from theirs."""
+    return mix(mix(a, 1) ^ b, 2)
 
 
 class Words:
@@ -64,29 +46,45 @@ class Words:
         self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.firsts = np.searchsorted(self.starts, offsets)
         self.counts = np.diff(self.firsts)
-        power, inverse = _power(_BYTE_BASE, n)
-        run = np.zeros(n + 1, np.uint64)
-        np.cumsum(_byte_values(lower)[data] * power[:n], out=run[1:])
-        self.hashes = mix((run[self.ends] - run[self.starts]) * inverse[self.starts])
-
-    def runs(self, k: int, salt: int = 0) -> np.ndarray:
+        # Only A-Z of the bytes change.
+        self._bytes = data.tobytes().lower() if lower else data.tobytes()
+        self._by_seed: dict[int, np.ndarray] = {}
+        self.hashes = self.hashed(0)
+
+    def hashed(self, seed: int) -> np.ndarray:
+        """A hash of each word's bytes; those of different seeds say nothing about each other."""
+        if seed not in self._by_seed:
+            text, n = self._bytes, len(self.starts)
+            each = (xxhash.xxh3_64_intdigest(text[a:b], seed) for a, b in zip(self.starts.tolist(), self.ends.tolist(), strict=True))
+            self._by_seed[seed] = np.fromiter(each, np.uint64, n)
+        return self._by_seed[seed]
+
+    def runs(self, k: int, seed: int = 0) -> np.ndarray:
         """The hash of the k words from each word on; only those within one text mean anything.
 
-        Fewer than k words in the slab: none.
+        Runs of 1, 2, 4, ... words are joined from two halves each, and those that add
+        up to k from left to right.  Fewer than k words in the slab: none.
         """
-        n = len(self.hashes)
+        part, size = self.hashed(seed), 1
+        n, done, out = len(part), 0, None
         if n < k:
             return np.zeros(0, np.uint64)
-        power, inverse = _power(_WORD_BASE, n)
-        run = np.zeros(n + 1, np.uint64)
-        np.cumsum((mix(self.hashes, salt) if salt else self.hashes) * power[:n], out=run[1:])
-        return mix((run[k:] - run[: n - k + 1]) * inverse[: n - k + 1], salt)
+        while True:
+            if k & size:
+                out = part if out is None else join(out[: n - done - size + 1], part[done:])
+                done += size
+            if done == k:
+                return out
+            part = join(part[:-size], part[size:])
+            size *= 2
 
     def whole(self, text: int) -> np.uint64:
         """The hash of all the words of one text."""
-        a, b = self.firsts[text], self.firsts[text + 1]
-        power, _ = _power(_WORD_BASE, int(b - a))
-        return mix(np.array([(self.hashes[a:b] * power[: b - a]).sum(dtype=np.uint64)]))[0]
+        own = self.hashes[self.firsts[text] : self.firsts[text + 1]]
+        found = np.array([len(own)], np.uint64)
+        for i in range(len(own)):
+            found = join(found, own[i : i + 1])
+        return found[0]
 
 
 def slabs(texts: pa.StringArray, lower: bool = False) -> Iterator[tuple[int, int, Words]]:

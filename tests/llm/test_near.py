@@ -107,3 +107,44 @@ def test_ids_with_different_texts(spark):
 def test_thresholds_that_signatures_cannot_serve_are_refused(spark):
     with pytest.raises(ValueError, match="percent"):
         near.near_duplicates(spark.createDataFrame([], "doc_id long, text string"), percent=79)
+
+
+def test_words_that_a_polynomial_confuses_stay_apart(spark):
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = [(i, w) for i, w in enumerate([word[:1024], other[:1024], word, other])]
+    found = near.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {0: 0, 1: 1, 2: 2, 3: 3}
+
+
+def test_blocks_meet_each_other(spark, rows, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK_SHINGLES", 300)
+    docs = _corpus()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = near.near_duplicates(df, size=4, percent=80).select("doc_id", "component_id").distinct()
+    want = _brute(docs, 4, 80)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect() if r["doc_id"] is not None} == want
+
+
+@pytest.mark.parametrize("copies", [300, 900])
+def test_a_large_group_gives_few_links(spark, monkeypatch, copies):
+    rng = random.Random(copies)
+    base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+    docs = []
+    for i in range(copies):
+        text = list(base)
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(10**6)}"
+        docs.append((i, " ".join(text)))
+    seen = []
+
+    def counted(links, *names):
+        seen.append(links.count())
+        return components(links, *names)
+
+    monkeypatch.setattr(near, "components", counted)
+    found = near.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=4)
+    assert found.select("component_id").distinct().count() <= 3
+    assert max(seen) <= 4 * copies
