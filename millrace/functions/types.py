@@ -107,3 +107,10 @@ def as_number(df: DataFrame, name: str) -> Column:
     if is_boolean(dtype_of(df, name)):
         c = c.cast("int")
     return c.cast("double")
+
+
+def free_name(df: DataFrame, wish: str) -> str:
+    """The wished name, or one like it that the table doesn't have."""
+    while wish.lower() in {c.lower() for c in df.columns}:
+        wish += "_"
+    return wish

@@ -2,9 +2,25 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers that start from now on import this package from where it lies.
+
+    That is enough where all machines see the folder; else install the package or send
+    it with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def local_session(
     cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", shared_dir: str | None = None
 ) -> SparkSession:

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.types import free_name
+
 MIN_FILE_ROWS = 1_000
 
 RUN_LOG = (
@@ -70,17 +72,84 @@ def load_model(path: str) -> PipelineModel:
 
 
 def append_run(spark: SparkSession, path: str, **fields) -> None:
-    """Add one entry to the run log; a later entry of a run replaces the earlier."""
+    """Put one entry into the run log; it replaces an earlier entry of the run.
+
+    The log is a snapshot, named by the newest file below ``commits``.  A writer
+    makes a new snapshot and renames its commit into place, which only one writer
+    can do for a number; the others read again and retry.  The snapshot before
+    the current one stays for readers that have begun; older ones go.
+    """
     schema = T.StructType.fromDDL(RUN_LOG)
     unknown = set(fields) - set(schema.fieldNames())
     if unknown:
         raise ValueError(f"unknown run log fields: {sorted(unknown)}")
-    row = tuple(fields.get(n) for n in schema.fieldNames())
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+    row = spark.createDataFrame([tuple(fields.get(n) for n in schema.fieldNames())], schema)
+    while True:
+        number, snapshot = _current(spark, path)
+        rows = row if snapshot is None else latest_runs(spark.read.schema(RUN_LOG).parquet(f"{path}/{snapshot}").unionByName(row))
+        made = f"snapshot-{uuid.uuid4().hex}"
+        rows.coalesce(1).write.parquet(f"{path}/{made}")
+        if _commit(spark, path, number + 1, made):
+            return _collect_old(spark, path, number)
+        _files(spark, path).delete(_path(spark, f"{path}/{made}"), True)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return latest_runs(spark.read.schema(RUN_LOG).parquet(path))
+    _, snapshot = _current(spark, path)
+    return spark.createDataFrame([], RUN_LOG) if snapshot is None else spark.read.schema(RUN_LOG).parquet(f"{path}/{snapshot}")
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _commits(spark: SparkSession, path: str) -> list[int]:
+    folder = _path(spark, f"{path}/commits")
+    files = _files(spark, path)
+    names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def _snapshot_of(spark: SparkSession, path: str, number: int) -> str:
+    return spark.read.text(f"{path}/commits/{number:012d}").first()["value"]
+
+
+def _current(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    numbers = _commits(spark, path)
+    return (numbers[-1], _snapshot_of(spark, path, numbers[-1])) if numbers else (0, None)
+
+
+def _commit(spark: SparkSession, path: str, number: int, snapshot: str) -> bool:
+    """Whether this writer was the first to give the number a snapshot."""
+    files, conf = _files(spark, path), spark._jsc.hadoopConfiguration()
+    waiting = _path(spark, f"{path}/waiting/{uuid.uuid4().hex}")
+    target = _path(spark, f"{path}/commits/{number:012d}")
+    files.mkdirs(target.getParent())
+    out = files.create(waiting, False)
+    out.write(bytearray(snapshot.encode()))
+    out.close()
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf)
+    no_overwrite = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(files.makeQualified(waiting), files.makeQualified(target), no_overwrite)
+    except Exception as e:
+        files.delete(waiting, False)
+        if "FileAlreadyExists" not in str(e):
+            raise
+        return False
+    return True
+
+
+def _collect_old(spark: SparkSession, path: str, before: int) -> None:
+    """Drop what came before the snapshot that the current one replaced."""
+    files = _files(spark, path)
+    for number in [n for n in _commits(spark, path) if n < before]:
+        files.delete(_path(spark, f"{path}/{_snapshot_of(spark, path, number)}"), True)
+        files.delete(_path(spark, f"{path}/commits/{number:012d}"), False)
 
 
 def latest_runs(log: DataFrame, key: str = "run_id", at: str = "ended_at", tie: tuple[str, ...] = ()) -> DataFrame:
@@ -89,7 +158,8 @@ def latest_runs(log: DataFrame, key: str = "run_id", at: str = "ended_at", tie:
     Each task keeps only its newest entry of a run before the shuffle.
     """
     order = Window.partitionBy(key).orderBy(F.desc(at), *[F.desc(t) for t in tie])
-    return log.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
+    rank = free_name(log, "rank")
+    return log.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1).drop(rank)
 
 
 @cache
