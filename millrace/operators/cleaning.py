@@ -164,7 +164,7 @@ def standardize_text(df: DataFrame) -> DataFrame:
     if not names:
         return df
     return df.withColumns(
-        {c: F.lower(F.trim(F.regexp_replace(ref(c), r"\s+", " "))) for c in names}
+        {c: F.lower(F.trim(F.regexp_replace(ref(c), r"(?U)\s+", " "))) for c in names}
     )
 
 
@@ -271,27 +271,32 @@ def needs_encoding(df: DataFrame, target: str) -> bool:
     return ty.is_number_like(kind) and target in fewer_than(df, [target], ENCODE_BELOW)
 
 
-def encode_target(df: DataFrame, target: str, max_literal: int = 100) -> EncodedTarget:
-    """Replace the target by the rank of its class in sorted order, from 0.
+def encode_target(df: DataFrame, target: str, max_literal: int = 100, position: str | None = None) -> EncodedTarget:
+    """Replace the target by the rank of its class, from 0.
 
-    Missing targets count as the most frequent class.  A few classes become a
-    literal lookup inside the projection; very many are ranked by a range sort
-    and joined back.
+    Classes are ranked in sorted order, or with a ``position`` column by the
+    row that shows them first.  Missing targets count as the most frequent
+    class.  A few classes become a literal lookup inside the projection; very
+    many are ranked by a range sort and joined back.
     """
     ty.require_column(df, target)
     if not needs_encoding(df, target):
         return EncodedTarget(df, None)
     c, kind = ref(target), ty.dtype_of(df, target)
     counts = (
-        df.filter(c.isNotNull()).groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("cnt"))
+        df.filter(c.isNotNull()).groupBy(c.alias("value")).agg(
+            F.count(F.lit(1)).alias("cnt"), (F.min(ref(position)) if position else F.lit(0)).cast("long").alias("first")
+        )
     )
     # The most frequent class first; all classes, when there are few.
-    head = [r["value"] for r in counts.orderBy(F.desc("cnt"), "value").limit(max_literal + 1).collect()]
+    found = counts.orderBy(F.desc("cnt"), "value").limit(max_literal + 1).collect()
+    head = [r["value"] for r in found]
     if not head and ty.is_text(kind):
         head = [NO_MODE]
     filled = F.coalesce(c, F.lit(head[0])) if head else c
     if len(head) <= max_literal:
-        pairs = [(v, i) for i, v in enumerate(sorted(head))]
+        first = {r["value"]: r["first"] for r in found}
+        pairs = [(v, i) for i, v in enumerate(sorted(head, key=lambda v: (first.get(v, 0), v)))]
         coded = df.sparkSession.createDataFrame(
             pairs, T.StructType([T.StructField("value", kind), T.StructField("code", T.LongType())])
         )
@@ -299,16 +304,16 @@ def encode_target(df: DataFrame, target: str, max_literal: int = 100) -> Encoded
             return EncodedTarget(df.withColumn(target, F.lit(None).cast("bigint")), coded)
         lookup = F.create_map(*[F.lit(x).cast(k) for v, i in pairs for x, k in ((v, kind), (i, "bigint"))])
         return EncodedTarget(df.withColumn(target, F.try_element_at(lookup, filled)), coded)
-    coded = ranked_codes(counts, "value")
+    coded = ranked_codes(counts, "value", ["first", "value"])
     joined = join_codes(df.withColumn("__class", filled), "__class", coded)
     table = joined.select(*[F.col("__code").alias(target) if x == target else ref(x) for x in df.columns])
     return EncodedTarget(table, coded)
 
 
-def ranked_codes(classes: DataFrame, column: str) -> DataFrame:
-    """(value, code): the distinct values numbered in sorted order by a range sort."""
+def ranked_codes(classes: DataFrame, column: str, order_by: Sequence[str] | None = None) -> DataFrame:
+    """(value, code): the distinct values numbered in their own or a given order by a range sort."""
     kind = ty.dtype_of(classes, column)
-    numbered = classes.select(ref(column)).orderBy(ref(column)).rdd.zipWithIndex().map(lambda p: (p[0][0], p[1]))
+    numbered = classes.orderBy(*[ref(c) for c in order_by or [column]]).select(ref(column)).rdd.zipWithIndex().map(lambda p: (p[0][0], p[1]))
     return classes.sparkSession.createDataFrame(
         numbered, T.StructType([T.StructField("value", kind), T.StructField("code", T.LongType())])
     )
@@ -328,7 +333,8 @@ def join_codes(df: DataFrame, column: str, coded: DataFrame) -> DataFrame:
     if coded.count() <= BROADCAST_CODES:
         return df.join(F.broadcast(lookup), column, "left")
     salts = F.explode(F.sequence(F.lit(0), F.lit(CODE_SALTS - 1))).alias("__salt")
-    salted = df.withColumn("__salt", (F.rand(7) * CODE_SALTS).cast("int"))
+    # By the row's own values: a task that runs again deals its rows alike.
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[ref(c).cast("string") for c in df.columns]), F.lit(CODE_SALTS)).cast("int"))
     return salted.join(lookup.select("*", salts), [column, "__salt"], "left").drop("__salt")
 
 

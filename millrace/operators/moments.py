@@ -3,7 +3,8 @@
 Two passes: column means and ranges, then sums of centred products.  Columns
 without missing values share their single-column sums across pairs, so ``c``
 columns cost ``c(c-1)/2`` product sums plus ``2c`` others, in one scan per
-``PAIRS_PER_PASS`` pairs.
+``PAIRS_PER_PASS`` pairs.  Beyond ``PAIRS_IN_SQL`` pairs Gram products give the
+same sums in one scan.
 """
 
 from __future__ import annotations
@@ -17,9 +18,13 @@ from pyspark.sql import functions as F
 from millrace.functions import types as ty
 from millrace.functions.expressions import chunks, ratio
 from millrace.functions.sqltext import aggregate_rows, double_sql, number_sql, text_sql
+from millrace.operators.gram import pair_moments
 from millrace.operators.summary import column_facts
 
-PAIRS_PER_PASS = 150
+PAIRS_PER_PASS, PAIRS_IN_SQL = 150, 600
+#: A side whose squares about its mean are a smaller share than this of its squares
+#: about the whole column's mean doesn't vary (Gram products only; else minima decide).
+FLAT_SHARE = 1e-12
 
 
 def all_pairs(columns: Sequence[str]) -> list[tuple[str, str]]:
@@ -35,6 +40,8 @@ def pair_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
     if not pairs:
         raise ValueError("no column pairs given")
     used = list(dict.fromkeys(c for p in pairs for c in p))
+    if len(pairs) > PAIRS_IN_SQL:
+        return _by_products(df, pairs, used)
     facts = column_facts(df, used)
     full = {c for c in used if facts[c]["present"] == facts[c]["rows"]}
     slot = {c: f"c{i}" for i, c in enumerate(used)}
@@ -46,6 +53,20 @@ def pair_correlation(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFra
     )
 
 
+def _by_products(df: DataFrame, pairs: Sequence[tuple[str, str]], used: Sequence[str]) -> DataFrame:
+    """The correlations of many pairs; which pairs were asked for is one row each."""
+    place = {c: i for i, c in enumerate(used)}
+    wanted = [(min(place[a], place[b]), max(place[a], place[b]), a, b) for a, b in pairs]
+    asked = df.sparkSession.createDataFrame(wanted, "a int, b int, col_a string, col_b string")
+
+    def varies(squares: str, total: str) -> Column:
+        return F.col(squares) - ratio(F.col(total) * F.col(total), F.col("n")) > F.lit(FLAT_SHARE) * F.col(squares)
+
+    sums = pair_moments(df, used).withColumn("n", F.col("n").cast("long"))
+    sums = sums.withColumn("vx", varies("sxx", "sx")).withColumn("vy", varies("syy", "sy"))
+    return _correlations(sums.join(asked, ["a", "b"]))
+
+
 def _pair_sums(
     pairs: Sequence[tuple[str, str]], slot: dict[str, str], full: set[str]
 ) -> tuple[dict[str, str], list[dict[str, str]]]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import types as ty
 from millrace.functions.expressions import chunks, ratio, rows_of
 from millrace.functions.sqltext import aggregate_rows, double_sql, name_sql, number_sql, text_sql
-from millrace.functions.types import ref
+from millrace.functions.types import free_name, ref
 from millrace.operators.frequency import distinct_counts, fewer_than
 from millrace.operators.quantiles import column_quantiles
 from millrace.operators.summary import numeric_summary, presence
@@ -25,11 +25,10 @@ SKEW_LIMIT = 1.0
 
 
 def _row_groups(df: DataFrame) -> DataFrame:
-    """One row per distinct row with its count; NULLs compare equal."""
+    """One row per distinct row with its count, under names of their own; NULLs compare equal."""
     ty.require_flat(df)
-    if "copies" in df.columns:
-        raise ValueError("a column named 'copies' is reserved here")
-    return df.groupBy(*[ref(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("copies"))
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.groupBy(*plain.columns).agg(F.count(F.lit(1)).alias("copies"))
 
 
 def quality_profile(df: DataFrame) -> DataFrame:
@@ -41,8 +40,8 @@ def quality_profile(df: DataFrame) -> DataFrame:
         "rows": "coalesce(sum(copies), 0L)",
         "duplicates": "coalesce(sum(copies - 1), 0L)",
         **{
-            f"m{i}": f"coalesce(sum(CASE WHEN {name_sql(c)} IS NULL THEN copies END), 0L)"
-            for i, c in enumerate(df.columns)
+            f"m{i}": f"coalesce(sum(CASE WHEN c{i} IS NULL THEN copies END), 0L)"
+            for i in range(len(df.columns))
         },
     }
     total = " + ".join(f"m{i}" for i in range(len(df.columns)))
@@ -80,7 +79,8 @@ def keep_first(df: DataFrame, subset: Sequence[str], order_by: Sequence[Column |
     group holding a third of all rows does not land in one task.
     """
     order = Window.partitionBy(*[ref(c) for c in subset]).orderBy(*order_by)
-    return df.withColumn("__rank", F.row_number().over(order)).filter("__rank = 1").drop("__rank")
+    rank = free_name(df, "rank")
+    return df.withColumn(rank, F.row_number().over(order)).filter(ref(rank) == 1).drop(rank)
 
 
 def _checks(spark: SparkSession, wide: DataFrame, checks: Sequence[tuple[str, Column, Column]]) -> DataFrame:

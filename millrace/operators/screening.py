@@ -14,7 +14,7 @@ from millrace.functions.types import as_number, ref
 from millrace.operators.cleaning import one_hot, times_to_seconds
 from millrace.operators.frequency import distinct_counts
 from millrace.operators.hypothesis import LEAK_CORRELATION, identical_columns
-from millrace.operators.moments import PAIRS_PER_PASS, all_pairs, pair_correlation, target_correlations
+from millrace.operators.moments import all_pairs, pair_correlation, target_correlations
 
 # Thresholds that results must agree on.
 ID_SHARE = 0.95
@@ -60,8 +60,6 @@ def correlated_features(
     pairs = all_pairs(names)
     if not pairs:
         return df.sparkSession.createDataFrame([], "column string")
-    if len(pairs) > 4 * PAIRS_PER_PASS:
-        return _correlated_by_matrix(df, names, limit)
     return (
         pair_correlation(df, pairs)
         .filter(F.abs("r") > limit)
@@ -70,20 +68,6 @@ def correlated_features(
     )
 
 
-def _correlated_by_matrix(df: DataFrame, names: Sequence[str], limit: float) -> DataFrame:
-    """Many complete columns: one distributed Gram matrix instead of many scans."""
-    import numpy as np
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    plain = df.select(*[F.coalesce(as_number(df, c), F.lit(0.0)).alias(f"c{i}") for i, c in enumerate(names)])
-    vectors = VectorAssembler(inputCols=plain.columns, outputCol="v").transform(plain).select("v")
-    r = Correlation.corr(vectors, "v").first()[0].toArray()
-    strong = np.triu(np.abs(r) > limit, k=1).any(axis=0)
-    rows = [(c,) for c, hit in zip(names, strong) if hit]
-    return df.sparkSession.createDataFrame(rows, "column string")
-
-
 def leaking_features(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
     """(column): identical to the target, or abs(r) >= 0.95 with it."""
     names = [c for c in (columns if columns is not None else df.columns) if c != target]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from millrace.functions.types import nan_to_null
 from millrace.operators import contingency as ct
 from millrace.operators import evidence as ev
+from millrace.operators import gram
 from millrace.operators import hypothesis as hy
 from millrace.operators import moments as mo
 from millrace.operators import profiling as pr
@@ -181,3 +182,20 @@ def test_mutual_information(spark):
     assert {r["feature"]: r["mi"] for r in pr.mutual_information(df, "y").collect()}["same"] == pytest.approx(np.log(4))
     with pytest.raises(ValueError):
         pr.mutual_information(df, "y", method="other")
+
+
+def test_gram_products_give_the_sums_of_the_plain_pass(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({f"c{i}": rng.normal(1e6 * (i % 3), 1 + i, 300) for i in range(9)})
+    pdf["flag"] = rng.random(300) < 0.4
+    pdf["same"], pdf["copy"], pdf["none"] = 7.5, pdf["c1"] * 2, np.nan
+    values = [tuple(None if (r * 7 + k * 3) % 11 == 0 or v != v else v for k, v in enumerate(row)) for r, row in enumerate(pdf.itertuples(index=False))]
+    df = spark.createDataFrame(values, ", ".join(f"{c} {'boolean' if c == 'flag' else 'double'}" for c in pdf.columns))
+    pairs = mo.all_pairs(df.columns) + [(c, c) for c in df.columns] + [("c5", "c2")]
+    plain = {(r["col_a"], r["col_b"]): (r["n"], r["r"]) for r in mo.pair_correlation(df, pairs).collect()}
+    monkeypatch.setattr(mo, "PAIRS_IN_SQL", 0)
+    monkeypatch.setattr(gram, "BLOCK_COLUMNS", 5)
+    wide = {(r["col_a"], r["col_b"]): (r["n"], r["r"]) for r in mo.pair_correlation(df, pairs).collect()}
+    assert wide.keys() == plain.keys()
+    for pair, (n, r) in plain.items():
+        assert wide[pair][0] == n and wide[pair][1] == (None if r is None else pytest.approx(r, abs=1e-9)), pair

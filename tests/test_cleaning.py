@@ -180,3 +180,18 @@ def test_require_encoded(spark):
 def test_times_to_seconds(spark):
     df = spark.createDataFrame([(datetime(1970, 1, 2),), (None,)], "t timestamp_ntz")
     assert [r[0] for r in cl.times_to_seconds(df).collect()] == [86400.0, None]
+
+
+def test_codes_by_first_appearance(spark):
+    rows = [(i, "cab"[i % 3] if i != 4 else None) for i in range(30)]
+    df = spark.createDataFrame(rows, "position long, kind string").repartition(5)
+    for most in (100, 1):
+        encoded = cl.encode_target(df, "kind", most, position="position")
+        assert {r["value"]: r["code"] for r in encoded.classes.collect()} == {"c": 0, "a": 1, "b": 2}
+        got = {r["position"]: r["kind"] for r in encoded.table.collect()}
+        assert [got[i] for i in range(4)] == [0, 1, 2, 0]
+
+
+def test_unicode_blanks_are_blanks(spark):
+    df = spark.createDataFrame([("A\u00a0\u2003b ",)], "s string")
+    assert cl.standardize_text(df).first()["s"] == "a b"

@@ -104,12 +104,12 @@ def test_correlated_even_with_a_dropped_one(spark, rows):
     assert rows(sc.correlated_features(df)) == [("b",), ("c",)]
 
 
-def test_matrix_path_agrees(spark, rows):
-    df = spark.range(200).select(
-        *[(F.col("id") * (i % 3 + 1) + F.hash(F.col("id"), F.lit(i)) % (10 + 20 * i)).cast("double").alias(f"c{i}") for i in range(8)]
-    )
-    pairs = rows(sc.correlated_features(df))
-    assert rows(sc._correlated_by_matrix(df, df.columns, sc.CORRELATION_LIMIT)) == pairs and pairs
+def test_missing_values_count_alike_at_every_width(spark, rows):
+    gap = lambda c: F.when(F.col("id") % 3 != 0, c)
+    few = [gap(F.col("id")).alias("a"), F.when(F.col("id") % 5 != 0, F.col("id") * 2).alias("b")]
+    noise = [(F.hash(F.col("id"), F.lit(i)) % 97).cast("double").alias(f"x{i}") for i in range(45)]
+    assert rows(sc.correlated_features(spark.range(400).select(*few))) == [("b",)]
+    assert rows(sc.correlated_features(spark.range(400).select(*few, *noise))) == [("b",)]
 
 
 def test_selection_reasons(spark):

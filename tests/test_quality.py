@@ -167,3 +167,11 @@ def test_distinct_counts_all_types(spark):
     )
     assert frequency.distinct_map(df, df.columns) == {"i": 2, "d": 2, "s": 1, "b": 1, "t": 1}
     assert frequency.distinct_map(df.limit(0), ["i"]) == {"i": 0}
+
+
+def test_columns_named_like_working_ones(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (None, 2)], "copies int, rank int")
+    assert quality.duplicate_count(df).first()["duplicates"] == 1
+    assert {r["column"]: r["missing"] for r in quality.quality_profile(df).collect()} == {"copies": 1, "rank": 0}
+    kept = quality.keep_first(df, ["rank"], [F.desc_nulls_last("copies")])
+    assert kept.columns == ["copies", "rank"] and [tuple(r) for r in kept.collect()] == [(1, 2)]
