@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from millrace.catalog.views import cte
+from millrace.catalog.views import GAPPY_COLUMNS, cte
+from millrace.sources.tables import MISSING_MARKS
 
 ORACLE: dict[str, str] = {}
 
@@ -307,6 +308,16 @@ def _matrix(table: str, names: list[str]) -> str:
     )
 
 
+
+
+def _gappy_pair(a: str, b: str) -> str:
+    n = f"count(CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN 1 END)"
+    return f"{{'col_a': '{a}', 'col_b': '{b}', 'n': {n}, 'r': round(corr({a}, {b}), 6) + 0.0}}"
+
+
+ORACLE["corr_wide"] = (
+    cte("gappy_lineitem") + f"\nSELECT unnest([{', '.join(_gappy_pair(a, b) for a, b in _pairs(GAPPY_COLUMNS))}], recursive := true) FROM gappy_lineitem"
+)
 ORACLE["corr_matrix"] = _matrix("lineitem", numbers(LINEITEM))
 ORACLE["corr_matrix_missing"] = cte("dirty_orders") + "\n" + _matrix("dirty_orders", numbers(DIRTY_ORDERS))
 ORACLE["target_correlations"] = cte("wide_lineitem") + "\n" + "\nUNION ALL\n".join(
@@ -704,3 +715,28 @@ ORACLE["profile_pipeline"] = "\nUNION ALL\n".join(
     + [f"SELECT 'cramers_v', concat(col_a, '__', col_b), v FROM ({ORACLE['cramers_v']})",
        f"SELECT 'anova', feature, p_value FROM ({ORACLE['anova']})"]
 )
+
+# --- order of rows, delimited files ---------------------------------------
+
+_NUMBERED = "(SELECT *, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders)"
+ORACLE["keep_first_in_file"] = f"SELECT * FROM {_NUMBERED} QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY position) = 1"
+ORACLE["first_seen_codes"] = f"""SELECT o_orderpriority AS value, row_number() OVER (ORDER BY min(position)) - 1 AS code
+FROM {_NUMBERED} WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority"""
+_MARKS = ", ".join(f"'{m}'" for m in MISSING_MARKS)
+ORACLE["csv_quoted_breaks"] = "SELECT doc_id, " + ", ".join(
+    f"CASE WHEN {c} NOT IN ({_MARKS}) THEN {c} END AS {c}" for c in ("text", "lang", "source")
+) + " FROM documents"
+
+# --- scoring --------------------------------------------------------------
+
+_MINORS = {
+    "bq": "qy * (dd * tt - dt * dt) - qd * (dy * tt - dt * ty) + qt * (dy * dt - dd * ty)",
+    "bd": "qq * (dy * tt - dt * ty) - qy * (qd * tt - dt * qt) + qt * (qd * ty - dy * qt)",
+    "bt": "qq * (dd * ty - dy * dt) - qd * (qd * ty - dy * qt) + qy * (qd * dt - dd * qt)",
+}
+_SHORT = {"q": "l_quantity", "d": "l_discount", "t": "l_tax", "y": "l_extendedprice"}
+_COVARIANCES = ", ".join(f"covar_pop({_SHORT[a]}, {_SHORT[b]}) AS {a}{b}" for a, b in ("qq", "qd", "qt", "dd", "dt", "tt", "qy", "dy", "ty"))
+ORACLE["score_batch"] = f"""WITH m AS (SELECT {', '.join(f"avg({c}) AS {a}" for a, c in _SHORT.items())}, {_COVARIANCES} FROM lineitem),
+b AS (SELECT *, {', '.join(f"({sql}) / det AS {n}" for n, sql in _MINORS.items())}
+  FROM (SELECT *, qq * (dd * tt - dt * dt) - qd * (qd * tt - dt * qt) + qt * (qd * dt - dd * qt) AS det FROM m))
+SELECT l_orderkey, l_linenumber, round(y + bq * (l_quantity - q) + bd * (l_discount - d) + bt * (l_tax - t), 2) AS prediction FROM lineitem, b"""

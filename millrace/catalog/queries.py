@@ -6,6 +6,7 @@ digits; the operators themselves return full precision.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +17,14 @@ from millrace.functions.expressions import rounded, union_all
 from millrace.functions.types import ref
 from millrace.operators import (
     charts, cleaning, contingency, evidence, frequency, hypothesis, modelling, moments,
-    profiling, quality, screening,
+    neighbours, profiling, quality, screening, search,
 )
 from millrace.operators.summary import numeric_summary
 from millrace.plans import clean, model, profile
 from millrace.plans.analyze import analyze
 from millrace.plans.clean import clean_steps
-from millrace.sources.sinks import latest_runs
-from millrace.sources.tables import preview
+from millrace.sources.sinks import latest_runs, staging_root
+from millrace.sources.tables import load_csv, load_parquet, preview
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +58,30 @@ def _positive_zero(df: DataFrame, *columns: str) -> DataFrame:
 # --- sources, quality ----------------------------------------------------
 
 query("load_preview", "region")(lambda df: preview(df, ["r_regionkey"], 3))
+
+
+def _csv_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents from CSV files whose texts hold line breaks, commas and quotes."""
+    path = f"{staging_root(spark)}/millrace/csv-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    style = {"header": "true", "quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    docs.write.options(**style).csv(path)
+    return load_csv(spark, path)
+
+
+def _file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's first order in the order of the files."""
+    orders = load_parquet(spark, f"{sf_dir}/orders.parquet", position="position")
+    return quality.keep_first(orders, ["o_custkey"], ["position"])
+
+
+def _first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes numbered by the row that shows them first."""
+    orders = load_parquet(spark, f"{sf_dir}/orders.parquet", position="position")
+    return cleaning.encode_target(orders, "o_orderpriority", position="position").classes
+
+
+QUERIES |= {"csv_quoted_breaks": _csv_breaks, "keep_first_in_file": _file_order, "first_seen_codes": _first_seen}
 query("quality_profile", "dirty_orders")(quality.quality_profile)
 query("duplicate_count", "dirty_orders")(quality.duplicate_count)
 query("missing_counts", "dirty_orders")(quality.missing_counts)
@@ -162,6 +187,9 @@ query("fill_zero", "dirty_orders")(lambda df: cleaning.fill_zero(df).select("o_o
 # --- association ---------------------------------------------------------
 
 query("corr_pairs", "wide_lineitem", 6)(moments.correlation_pairs)
+query("corr_wide", "gappy_lineitem", 6)(
+    lambda df: _positive_zero(rounded(moments.pair_correlation(df, moments.all_pairs(df.columns)), 6), "r")
+)
 query("corr_matrix", "lineitem", 6)(lambda df: _positive_zero(rounded(moments.correlation_matrix(df), 6), "r"))
 query("corr_matrix_missing", "dirty_orders", 6)(
     lambda df: _positive_zero(rounded(moments.correlation_matrix(df), 6), "r")
@@ -183,6 +211,9 @@ query("cramers_v_documents", "documents", 6)(lambda df: contingency.cramers_v(df
 query("mutual_info", "lineitem", 6)(
     lambda df: profiling.mutual_information(df, "l_extendedprice", LINE_FEATURES)
 )
+query("mutual_info_neighbours", "lineitem", 6)(
+    lambda df: neighbours.neighbour_information(df, "l_extendedprice", LINE_FEATURES)
+)
 query("mutual_info_quantile", "lineitem", 6)(
     lambda df: profiling.mutual_information(df, "l_extendedprice", LINE_FEATURES, bins=8, method="quantile")
 )
@@ -338,7 +369,14 @@ def _tuned(df: DataFrame) -> DataFrame:
     return modelling.classification_metrics(modelling.score(fitted, test), "quality")
 
 
-@query("score_batch", "lineitem")
+@query("budgeted_search", "labelled_documents")
+def _searched(df: DataFrame) -> DataFrame:
+    flat, feats = _flat_documents(df, "quality")
+    settings = [("forest", 10, 5), ("forest", 30, 8), ("boosted", 5, 3)]
+    return search.successive_halving(flat, feats, "quality", "classification", 2 * flat.count(), settings).rounds
+
+
+@query("score_batch", "lineitem", {"prediction": 2})
 def _score(df: DataFrame) -> DataFrame:
     flat = _line_features(df)
     fitted = modelling.train_baseline(flat, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice", "regression")

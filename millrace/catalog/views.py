@@ -21,7 +21,18 @@ _DIRTY = """SELECT o_orderkey,
   1 AS constant_col
 FROM {orders}"""
 
+
+def _gappy(k: int) -> str:
+    """One of many columns that depend on each other and lack values in rows of their own."""
+    value = f"l_discount * {k % 9 + 1} + l_tax * {k % 4} + l_quantity * {k % 3} * 0.01E0"
+    return f"CASE WHEN (l_orderkey + {k} * l_linenumber) % {3 + k % 7} = 0 THEN NULL ELSE {value} END AS f{k}"
+
+
+#: Columns of the widest view.
+GAPPY_COLUMNS = [f"f{k}" for k in range(60)]
+
 VIEWS = {
+    "gappy_lineitem": f"SELECT {', '.join(_gappy(k) for k in range(len(GAPPY_COLUMNS)))}\nFROM {{lineitem}}",
     "dirty_orders": f"{_DIRTY}\nUNION ALL\n{_DIRTY} WHERE o_orderkey % 50 = 0",
     "raw_orders": """SELECT CAST(o_orderkey AS STRING) AS o_orderkey,
   CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS STRING) END AS o_totalprice,
