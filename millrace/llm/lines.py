@@ -2,12 +2,14 @@
 
 Pages are grouped by host.  A line's frequency is the number of the host's pages
 that hold it, divided by the host's pages; lines above a ratio are boilerplate of
-that host and go from its pages.
+that host and go from its pages.  Pages of a host whose whole texts are equal count as
+one, in both numbers: copies of a page don't make its lines boilerplate.
 
 Defined results: a null text stays null and counts as a page without lines; blank
-lines are never boilerplate; pages without a host are a host of their own;
-repeated rows are pages of their own; a line at the ratio exactly stays; the text
-of a page without boilerplate is untouched.
+lines are never boilerplate; pages without a host are a host of their own; each of
+several equal rows loses the same lines; a line at the ratio exactly stays, and so
+does one that a single page holds; the text of a page without boilerplate is
+untouched.
 """
 
 from __future__ import annotations
@@ -20,8 +22,8 @@ from millrace.sources.sinks import stage
 
 #: Lines on more than this share of a host's pages are boilerplate ...
 RATIO = 0.1
-#: ... if they are on so many pages at least: a small host says little.
-MIN_PAGES = 5
+#: ... if they are on so many pages at least: what one page holds doesn't repeat.
+MIN_PAGES = 2
 
 
 def _mark(line: Column) -> Column:
@@ -35,10 +37,13 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
 
     A page adds each line once, so a host has at most (lines a page) / ratio of them.
     """
-    pages = docs.select(F.col(host).alias("host"), F.split(text, "\n").alias("lines"))
+    lines = F.split(text, "\n")
+    marks = F.array_distinct(F.filter(F.transform(lines, _mark), lambda m: m.isNotNull()))
+    digest = F.struct(F.xxhash64(text).alias("a"), F.crc32(F.encode(F.col(text), "utf-8")).alias("b"), F.length(text).alias("n"))
+    pages = docs.select(F.col(host).alias("host"), digest.alias("page"), marks.alias("marks"))
+    pages = pages.groupBy("host", "page").agg(F.first("marks").alias("marks"))
     totals = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    marks = F.array_distinct(F.filter(F.transform("lines", _mark), lambda m: m.isNotNull()))
-    counts = pages.select("host", F.explode(marks).alias("mark")).groupBy("host", "mark").agg(F.count("*").alias("n"))
+    counts = pages.select("host", F.explode("marks").alias("mark")).groupBy("host", "mark").agg(F.count("*").alias("n"))
     often = counts.filter(F.col("n") >= min_pages).join(totals, counts["host"].eqNullSafe(totals["host"]))
     often = often.filter(F.col("n") > F.lit(ratio) * F.col("pages")).select(counts["host"], "mark")
     return often.groupBy("host").agg(F.collect_list("mark").alias("marks"))

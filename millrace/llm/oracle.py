@@ -6,9 +6,10 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 OP2 = f"""
 WITH pages AS (SELECT row_number() OVER () AS r, doc_id, text, source, string_split(text, chr(10)) AS lines FROM documents),
-once AS (SELECT DISTINCT r, source, trim(line) AS line FROM (SELECT r, source, unnest(lines) AS line FROM pages) WHERE trim(line) <> ''),
+texts AS (SELECT DISTINCT source, text FROM documents),
+once AS (SELECT DISTINCT source, text, trim(line) AS line FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM texts) WHERE trim(line) <> ''),
 counts AS (SELECT source, line, count(*) AS n FROM once GROUP BY ALL),
-totals AS (SELECT source, count(*) AS pages FROM documents GROUP BY ALL),
+totals AS (SELECT source, count(*) AS pages FROM texts GROUP BY ALL),
 bad AS (SELECT c.source, c.line FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
         WHERE c.n >= {lines.MIN_PAGES} AND c.n > {lines.RATIO}::DOUBLE * t.pages),
 numbered AS (SELECT r, source, unnest(lines) AS line, unnest(range(len(lines))) AS i FROM pages),

@@ -16,7 +16,7 @@ ROWS = [
 
 def test_boilerplate_goes_by_host(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string, source string, marks int")
-    found = lines.drop_boilerplate(docs, ratio=0.4, min_pages=3)
+    found = lines.drop_boilerplate(docs, ratio=0.4)
     assert set(found.columns) == {"doc_id", "text", "source", "marks", "n_lines", "n_dropped"}
     got = sorted((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"], r["marks"]) for r in found.filter("text is not null").collect())
     assert got == [
@@ -35,7 +35,13 @@ def test_boilerplate_goes_by_host(spark):
 
 
 def test_ratio_is_exclusive_and_empty_table(spark):
-    docs = spark.createDataFrame([(i, "x" if i < 4 else f"own {i}", "a") for i in range(8)], "doc_id long, text string, source string")
+    docs = spark.createDataFrame([(i, f"x\nown {i}" if i < 4 else f"own {i}", "a") for i in range(8)], "doc_id long, text string, source string")
     assert lines.drop_boilerplate(docs, ratio=0.5, min_pages=2).agg({"n_dropped": "sum"}).first()[0] == 0
     assert lines.drop_boilerplate(docs, ratio=0.49, min_pages=2).agg({"n_dropped": "sum"}).first()[0] == 4
     assert lines.drop_boilerplate(docs.limit(0)).collect() == []
+
+
+def test_copies_of_a_page_count_once(spark):
+    rows = [(i, "copied\nthrice", "a") for i in range(3)] + [(3, "menu\nthree", "a"), (4, "menu\nfour", "a"), (5, None, "a"), (6, None, "a")]
+    found = lines.drop_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"), ratio=0.4)
+    assert {r["doc_id"]: r["n_dropped"] for r in found.collect()} == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1, 5: 0, 6: 0}

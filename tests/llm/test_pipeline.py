@@ -13,10 +13,10 @@ SMALL = "/root/testdata/sf0.001"
 def _kept(spark, docs):
     """Line dedup, near dedup and decontamination in plain Python."""
     pages, counts = {}, {}
-    for d in docs:
-        pages[d["source"]] = pages.get(d["source"], 0) + 1
-        for line in {x.strip(" ") for x in d["text"].split("\n")} - {""}:
-            counts[d["source"], line] = counts.get((d["source"], line), 0) + 1
+    for host, text in {(d["source"], d["text"]) for d in docs}:
+        pages[host] = pages.get(host, 0) + 1
+        for line in {x.strip(" ") for x in text.split("\n")} - {""}:
+            counts[host, line] = counts.get((host, line), 0) + 1
     texts = {}
     for d in docs:
         def bad(line, host=d["source"]):
