@@ -112,7 +112,7 @@ def fingerprint(docs: DataFrame, text: str = "text", samples: int = SAMPLES) ->
 
 
 def _neighbours(rows: DataFrame) -> DataFrame:
-    """(key, next_key, prev_key, wanted): the order of the ids, descending, in a circle.
+    """(key, doc, next_key, prev_key, wanted): the order of the ids, descending, in a circle.
 
     ``wanted`` is how many code points the document before, of ``prev_key``, takes.
     Ids are dealt by range; two rows a block, those at its ends, come to the driver.
@@ -122,7 +122,7 @@ def _neighbours(rows: DataFrame) -> DataFrame:
     placed = stage(ids.repartitionByRange(blocks, F.col("doc").desc_nulls_last()).withColumn("block", F.spark_partition_id()), "order")
     order = Window.partitionBy("block").orderBy(F.col("doc").desc_nulls_last())
     made = [F.lead("key").over(order).alias("after"), F.lag("key").over(order).alias("before"), F.lag("third").over(order).alias("before_third")]
-    linked = placed.select("block", "key", "third", *made)
+    linked = placed.select("block", "key", "doc", "third", *made)
     ends = linked.filter("after IS NULL OR before IS NULL").collect()
     firsts = sorted((r["block"], r["key"]) for r in ends if r["before"] is None)
     lasts = sorted((r["block"], r["key"], r["third"]) for r in ends if r["after"] is None)
@@ -131,6 +131,7 @@ def _neighbours(rows: DataFrame) -> DataFrame:
     found = linked.join(F.broadcast(turned), "block", "left")
     return found.select(
         "key",
+        "doc",
         F.coalesce("after", "first_after").alias("next_key"),
         F.coalesce("before", "last_before").alias("prev_key"),
         F.coalesce("before_third", "last_third").alias("wanted"),
@@ -149,7 +150,9 @@ def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(key.alias("key"), F.col(doc_id).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     parts = parts_for(rows, "text", BUCKET_BYTES)
     around = _dealt(stage(_neighbours(rows), "neighbours").withColumnRenamed("key", "of"), "of", parts, "dealt")
-    rows = _dealt(rows, "key", parts)
+    # The id comes back with its neighbours, so that every branch needs the same columns
+    # and Spark deals the texts once.
+    rows = _dealt(rows.select("key", "text"), "key", parts)
     rows = rows.join(around, (rows["bucket"] == around["dealt"]) & (rows["key"] == around["of"])).drop("dealt", "of")
     by_text = [F.row_number().over(Window.partitionBy(*p).orderBy(*o)) for p, o in ((("bucket", "key"), ("text",)), (("bucket",), ("key", "text")))]
     rows = rows.withColumn("copy", by_text[0]).withColumn("row", by_text[1])
