@@ -8,7 +8,10 @@ sliding window of lines: text surges where the sum leaves zero and dives where i
 returns.  The article is all that stands between, whatever its size, in its
 containers: the outermost article or main element of most text and those beside it
 like it, or, if none has much of the page's text, the lowest element that holds all
-headings and lines of prose.
+headings and lines of prose.  In such an element the sums also tell an unnamed part
+beside the article: a div or cell before the title or first surge, or after the last
+dive, whose sums never reach a share of the page's own median line of prose, is left
+out, and the lowest element is looked for again; nothing between surges is.
 
 Defined results: a null or empty page gives the empty text; a page without lines of
 text too; unclosed and crossed tags are closed by the next enclosing end; equal
@@ -34,11 +37,14 @@ LINK_SHARE = 0.6
 #: A line of so many characters is prose, as is a shorter one that ends like a sentence.
 PROSE_CHARS = 25
 
+#: A division surges if a sum reaches this share of the page's median line of prose.
+SURGE = 0.5
+
 #: Elements nested deeper belong to the one at this depth, as in browsers.
 MAX_DEPTH = 512
 
 # HTML's elements by what they mean for a text's flow.
-_SKIPPED = "script style noscript template svg math iframe object canvas head title select textarea button video audio map datalist".split()
+_SKIPPED = "script style noscript template svg iframe object canvas head title select textarea button video audio map datalist annotation".split()
 _BLOCK = (
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul"
@@ -59,7 +65,11 @@ _SUBJECTS = set(
     "promotion rail reaction reactions recommended recommendations related search share sharing signin signup skip social subscription "
     "tags toc toolbar widget widgets".split()
 )
+# Subjects that, as classes, are a page's layout in an article, too.
+_LAYOUT = set("foot footer login notice notices rail share sharing signin signup social subscription toolbar".split())
 _NAMES = set(_PARTS)
+#: What pages are divided by, other than the blocks of a text.
+_DIVISIONS = {"div", "td"}
 #: Layout tools name every element of a page a widget of some kind.
 _WHOLE_NAMES = {"widget", "widgets"}
 _LANDMARKS = set("banner complementary contentinfo navigation search menu menubar toolbar dialog".split())
@@ -83,14 +93,15 @@ _BLOCKS, _SKIP, _NO_END = set(_BLOCK), set(_SKIPPED), set(_VOID)
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "apart", "main", "skip", "size", "depth", "named", "by_id", "linked", "heading", "title")
+    __slots__ = ("tag", "parent", "apart", "main", "skip", "size", "depth", "named", "by_id", "layout", "section", "linked", "heading", "title")
 
     def __init__(self, tag: str, parent: _Node | None, attrs: str):
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.size = self.linked = 0
         #: 0: no page part's name, 1: one that is a subject, too, 2: one that isn't.
-        self.named, self.by_id = 0, True
+        self.named, self.by_id, self.layout = 0, True, False
+        self.section = tag == "section"
         #: Whether it holds a heading, and the page's title or main element.
         self.heading = self.title = False
         self.main = tag in ("article", "main")
@@ -115,6 +126,7 @@ class _Node:
             name, value = name.lower(), value.strip("\"'").lower()
             if name in ("class", "id", "role", "aria-label", "itemprop"):
                 words = value.split()
+                self.section |= name == "class" and "section" in words
                 if name == "role" and value in _MAIN_ROLES or name == "itemprop" and value == "articlebody":
                     self.main = True
                 elif self.tag == "article":
@@ -141,6 +153,7 @@ class _Node:
             plain = not met <= _SUBJECTS and (attribute != "id" or len(parts) < 3) and (attribute != "aria-label" or len(words) == 1)
             self.named = max(self.named, 2 if plain else 1)
             self.by_id &= attribute == "id"
+            self.layout |= attribute == "class" and not met.isdisjoint(_LAYOUT)
 
     def is_part(self, total: int) -> bool:
         """Whether the name means a part that isn't the article, on a page of so much text."""
@@ -148,22 +161,25 @@ class _Node:
             return False
         if self.named == 2 or self.linked > LINK_SHARE * self.size:
             return True
-        return not self.inside_main() and not (self.by_id and self.heading)
+        if self.inside_main():
+            return self.layout and not self.heading
+        # Sections have ids made of their headings; other elements' ids are the layout's.
+        return not (self.by_id and self.heading and self.section)
 
 
-def _lines(page: str) -> Iterator[tuple[str, int, _Node]]:
-    """(text, characters in links, the node that holds it) of every block, in page order."""
+def _lines(page: str) -> Iterator[tuple[str, int, int, _Node]]:
+    """(text, characters in links, links, the node that holds it) of every block, in page order."""
     top = node = _Node("html", None, "")
     inline: list[_Node] = []
     parts: list[str] = []
-    linked, in_link, at = 0, 0, 0
+    linked, links, in_link, at = 0, 0, 0, 0
 
-    def line() -> list[tuple[str, int, _Node]]:
-        nonlocal linked
+    def line() -> list[tuple[str, int, int, _Node]]:
+        nonlocal linked, links
         text = " ".join("".join(parts).split())
         parts.clear()
-        found = [(text, linked, node)] if text else []
-        linked = 0
+        found = [(text, linked, links, node)] if text else []
+        linked = links = 0
         return found
 
     while at < len(page):
@@ -213,6 +229,7 @@ def _lines(page: str) -> Iterator[tuple[str, int, _Node]]:
                 node = _Node(tag, node, m["attrs"])
         elif tag == "a":
             in_link = 1
+            links += 1
         elif tag in _SKIP or tag in ("span", "small", "label", "ins", "em", "strong", "b", "i", "u", "font", "sup", "sub"):
             if not m["attrs"].endswith("/"):
                 found = _Node(tag, inline[-1] if inline else None, m["attrs"])
@@ -221,9 +238,14 @@ def _lines(page: str) -> Iterator[tuple[str, int, _Node]]:
     yield from line()
 
 
+def _sums(sizes: list[int], block: int) -> list[int]:
+    """Text lengths over a window of lines that starts at each line."""
+    return [sum(sizes[i : i + block]) for i in range(len(sizes))]
+
+
 def _runs(sizes: list[int], block: int) -> list[tuple[int, int]]:
     """Where the sliding sums surge from zero and dive back: (first line, line after the last)."""
-    sums = [sum(sizes[i : i + block]) for i in range(len(sizes))]
+    sums = _sums(sizes, block)
     found, start = [], None
     for i, size in enumerate(sizes):
         if start is None and size:
@@ -240,24 +262,33 @@ def main_text(page: str | None) -> str:
     """The article's blocks, joined by line feeds."""
     if not page:
         return ""
-    lines: list[tuple[str, _Node | None]] = []
-    fence = [("", None)] * BLOCK_LINES
+    # (text, node, length as prose); a paragraph that is one link is text, but no prose.
+    lines: list[tuple[str, _Node | None, int]] = []
+    fence = [("", None, 0)] * BLOCK_LINES
     fenced = True
-    found = [(text, len("".join(text.split())), linked, node) for text, linked, node in _lines(page)]
-    _settle(found)
-    for text, size, linked, node in found:
+    found = [(text, len("".join(text.split())), linked, links, node) for text, linked, links, node in _lines(page)]
+    _settle([(text, size, linked, node) for text, size, linked, _, node in found])
+    for text, size, linked, links, node in found:
         heading = node.tag in _HEADINGS and not node.apart
-        if node.apart or (linked > LINK_SHARE * size and not heading and not node.inside_main()):
+        mostly = linked > LINK_SHARE * size and not heading and not node.inside_main()
+        if node.apart or mostly and not (node.tag == "p" and links == 1 and _is_prose(text)):
             if not fenced:
                 lines += fence
                 fenced = True
             continue
-        lines.append((text, node))
+        lines.append((text, node, 0 if mostly else len(text)))
         fenced = False
-    holders = _holders([(t, n) for t, n in lines if n is not None])
-    inside = [(t, n) if n is not None and _within(n, holders) else ("", None) for t, n in lines]
-    runs = _runs([len(t) for t, _ in inside], BLOCK_LINES)
-    return "\n".join(t for a, b in runs for t, _ in inside[a:b] if t)
+    holders = _main_holders([(t, n) for t, n, _ in lines if n is not None])
+    if holders:
+        inside = [(t, n, size) if n is not None and _within(n, holders) else fence[0] for t, n, size in lines]
+    else:
+        inside = _beside_cut(lines)
+    runs = _runs([len(t) for t, _, _ in inside], BLOCK_LINES)
+    return "\n".join(t for a, b in runs for t, _, _ in inside[a:b] if t)
+
+
+def _is_prose(text: str) -> bool:
+    return len(text) >= PROSE_CHARS or _SENTENCE.search(text) is not None
 
 
 def _settle(lines: list[tuple[str, int, int, _Node]]) -> None:
@@ -288,8 +319,8 @@ def _within(node: _Node | None, holders: set[_Node]) -> bool:
     return False
 
 
-def _holders(lines: list[tuple[str, _Node]]) -> set[_Node]:
-    """The elements that hold the article, of lines that aren't apart."""
+def _main_holders(lines: list[tuple[str, _Node]]) -> set[_Node]:
+    """The article or main elements that hold the article, of lines that aren't apart."""
     nodes: dict[int, _Node] = {}
     for text, node in lines:
         while node is not None:
@@ -301,11 +332,43 @@ def _holders(lines: list[tuple[str, _Node]]) -> set[_Node]:
     total = sum(len(t) for t, _ in lines)
     outer = [n for n in nodes.values() if n.main and not n.inside_main()]
     best = max(outer, key=lambda n: (n.size, -n.depth), default=None)
-    if best is not None and best.size >= 0.3 * total:
-        return {n for n in outer if (n.tag, n.depth) == (best.tag, best.depth)}
-    prose = [n for t, n in lines if n.tag in _HEADINGS or len(t) >= PROSE_CHARS or _SENTENCE.search(t)]
-    held = _common(prose or [n for _, n in lines])
-    return {held} if held else set()
+    if best is None or best.size < 0.3 * total:
+        return set()
+    return {n for n in outer if (n.tag, n.depth) == (best.tag, best.depth)}
+
+
+def _beside_cut(lines: list[tuple[str, _Node | None, int]]) -> list[tuple[str, _Node | None, int]]:
+    """The lines of the lowest element around all prose, without divisions beside the article that never surge."""
+    while True:
+        prose = [n for t, n, size in lines if n is not None and (n.tag in _HEADINGS or size and _is_prose(t))]
+        held = _common(prose or [n for _, n, _ in lines if n is not None])
+        lines = [x if x[1] is not None and _within(x[1], {held}) else ("", None, 0) for x in lines]
+        sizes = sorted(size for t, n, size in lines if n is not None and n.tag not in _HEADINGS and size and _is_prose(t))
+        if not sizes:
+            return lines
+        parts: dict[_Node, list[int]] = {}
+        for i, (_, node, _) in enumerate(lines):
+            if node is not None:
+                parts.setdefault(_division(node, held), []).append(i)
+        least = SURGE * sizes[len(sizes) // 2]
+        surges = {n: max(_sums([lines[i][2] for i in places], BLOCK_LINES)) >= least for n, places in parts.items()}
+        titled = [i for i, (_, n, _) in enumerate(lines) if n is not None and n.tag == "h1"]
+        text = [i for n, places in parts.items() if surges[n] for i in places]
+        first, last = min(titled[:1] + text), max(text)
+        beside = {
+            i for n, places in parts.items() if n is not held and not surges[n] and (places[-1] < first or places[0] > last) for i in places
+        }
+        if not beside:
+            return lines
+        lines = [("", None, 0) if i in beside else x for i, x in enumerate(lines)]
+
+
+def _division(node: _Node, held: _Node) -> _Node:
+    """The element's own division that holds a line, or the element, if the line stands in none."""
+    below = node
+    while below is not held and below.parent is not held:
+        below = below.parent
+    return below if below is not node and below.tag in _DIVISIONS else held
 
 
 def _common(nodes: list[_Node]) -> _Node | None:

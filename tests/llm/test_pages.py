@@ -111,3 +111,49 @@ def test_a_name_around_most_of_the_article_says_nothing():
     for name in ("menu-closed", "no-sidebar", "elementor-widget"):
         assert pages.main_text(f"<div class={name}><h1>Title</h1>{_html(body)}</div>").split("\n") == ["Title", *body]
         assert pages.main_text(f"<div class={name}><article>{_html(body)}</article></div>").split("\n") == body
+
+
+def test_layout_of_pages_without_article():
+    body = _paragraphs(4)
+    parts = (
+        '<div id="header"><h1>Site</h1><p>All about the site is here.</p></div>',
+        '<div id="menu"><h3>Menu</h3><p>Where to go from this page.</p></div>',
+        '<div id="login"><h3>Log in</h3><p>Enter your name and word.</p></div>',
+        '<div id="footer"><h3>About us</h3><p>We are a site of many pages.</p></div>',
+    )
+    page = f"<body>{parts[0]}{parts[1]}<div class=content><h1>Title</h1>{_html(body)}</div>{parts[2]}{parts[3]}</body>"
+    assert pages.main_text(page).split("\n") == ["Title", *body]
+
+
+def test_notices_and_footers_inside_an_article():
+    body = _paragraphs(2)
+    parts = '<div class="notice">This site is moving soon.</div><div class="footer">Printed by the site.</div>'
+    section = '<div class="notice"><h2>Of notices</h2><p>A notice is a text.</p></div>'
+    assert pages.main_text(f"<article>{_html(body)}{parts}{section}</article>").split("\n") == [*body, "Of notices", "A notice is a text."]
+
+
+def test_unnamed_parts_beside_the_article_never_surge():
+    body, last = _paragraphs(4), _paragraphs(2, word="last")
+    side = "<div><h3>Popular posts</h3><p>Ten things to see.</p><p>Five to forget.</p></div>"
+    want = ["Title", *body, *last]
+    article = f"<div><h1>Title</h1>{_html(body)}<div class=ad>Buy.</div>{_html(last)}</div>"
+    for page in (f"{article}{side}", f"{side}{article}", f"<div>{side}<div>{article}</div></div>{side}", f"{article}{side}{side}"):
+        assert pages.main_text(f"<body>{page}</body>").split("\n") == want
+    # A short division between surges is the article's, as are short blocks of its own element.
+    short = "<div><h2>Aside</h2><p>Of little.</p></div>"
+    page = f"<body><div><h1>Title</h1>{_html(body)}{short}{_html(last)}<ul><li>To.</li></ul></div>{side}</body>"
+    assert pages.main_text(page).split("\n") == ["Title", *body, "Aside", "Of little.", *last, "To."]
+
+
+def test_formulas_and_linked_paragraphs_stay():
+    body = _paragraphs(2)
+    math = "<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds.</p>"
+    linked = "<p><a href=x>This whole paragraph leads elsewhere.</a></p>"
+    links = "<p><a href=x>Home of the site</a> <a href=y>All that we sell</a></p>"
+    page = f"<div><h1>Title</h1>{_html(body[:1])}{math}{linked}{links}{_html(body[1:])}</div>"
+    assert pages.main_text(page).split("\n") == ["Title", body[0], "So x=1 holds.", "This whole paragraph leads elsewhere.", body[1]]
+
+
+def test_a_very_long_page():
+    body = _paragraphs(20_000)
+    assert pages.main_text(f"<div><h1>Title</h1>{_html(body)}</div>").split("\n") == ["Title", *body]
