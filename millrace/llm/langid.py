@@ -17,11 +17,11 @@ one.  The score is 1 minus the mean distance as a share of the largest.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +31,8 @@ from millrace.llm.frames import named_again, plain_names
 PROFILE = 400
 #: Expected number of labelled rows a language is learned from, at most.
 SAMPLE_ROWS = 4_000
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+#: All but letters; numbers written as fractions, in circles or by signs of their own are none.
+_NO_LETTERS = regex.compile(r"\P{L}+")
 UNKNOWN = "und"
 
 

@@ -53,3 +53,40 @@ def test_odd_rows(spark):
     assert kept.columns == df.columns and kept.count() == 4
     assert langid.identify(df.limit(0)).collect() == []
     assert {r["lang_pred"] for r in langid.identify(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_numbers_are_no_letters(spark):
+    rows = [(i, t, None) for i, t in enumerate(("½ ²", "①②", "Ⅷ", "12", "ª"))] + [(10 + i, "the cat and the dog", "en") for i in range(9)]
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert [found[i] for i in range(5)] == ["und"] * 4 + ["en"]
+
+
+def test_distances_by_hand(spark):
+    """Labels and scores of short texts, from profiles counted and compared in plain Python."""
+    words = {"en": "the cat and the dog", "de": "der hund und die katze", "fr": "le chat et le chien"}
+    rows = [(10 * j + i, " ".join((t.split() * 3)[i : i + 4]), lang) for j, (lang, t) in enumerate(words.items()) for i in range(8)]
+    rows += [(100 + i, t, None) for i, t in enumerate(("the hund", "le dog et", "die katze and", "x"))]
+
+    def counted(text):
+        line, n = f" {text} ", {}
+        for size in (1, 2, 3):
+            for i in range(len(line) - size + 1):
+                if line[i : i + size] != " ":
+                    n[line[i : i + size]] = n.get(line[i : i + size], 0) + 1
+        return n
+
+    # Shorter n-grams first on equal counts, then by character code.
+    order = lambda n: sorted(n, key=lambda g: (-n[g], len(g), g))[: langid.PROFILE]
+    learned = {}
+    for i, text, lang in rows:
+        if lang and zlib.crc32(str(i).encode()) % 5:
+            for g, n in counted(text).items():
+                learned.setdefault(lang, {})[g] = learned.get(lang, {}).get(g, 0) + n
+    profiles = {lang: {g: r for r, g in enumerate(order(n))} for lang, n in learned.items()}
+    found = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    for i, text, _ in rows:
+        own = order(counted(text))
+        far = {lang: sum(abs(r - ranks[g]) if g in ranks else langid.PROFILE for r, g in enumerate(own)) for lang, ranks in profiles.items()}
+        best = min(far, key=lambda lang: (far[lang], lang))
+        assert found[i]["lang_pred"] == best
+        assert abs(found[i]["score"] - (1 - far[best] / (len(own) * langid.PROFILE))) < 1e-9
