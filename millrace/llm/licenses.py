@@ -2,8 +2,9 @@
 
 A text becomes its words joined by single blanks.  Hundreds of signature patterns
 over that line come from hand-written names of license families, each in several
-kinds of statement.  A rule runs only where one of its keywords is a word of the
-text.  A detection inside another one goes; of two that overlap otherwise, the one
+kinds of statement, and from sentences of the licenses' own texts.  A rule runs only
+where one of its keywords is a word of the text, an everyday word only if one of its
+companions is, too.  A detection inside another one goes; of two that overlap otherwise, the one
 of the weaker kind goes (a lower priority number is stronger); detections of the
 protected base phrases always stay.
 
@@ -103,6 +104,115 @@ FAMILIES: dict[str, tuple[str, str, str]] = {
     "openrail": ("openrail rail", r"(?:creativeml |bigscience )?open ?rail(?: m)?", "(?:creativeml |bigscience )?openrail m"),
     "llama": ("llama llama2 llama3 llama4", r"llama [234](?: [0-9])? community", "llama[234]"),
 }
+#: label: (keywords, patterns of sentences that only this license's own text or header holds).
+TEXTS: dict[str, tuple[str, tuple[str, ...]]] = {
+    "mit": (
+        "hereby",
+        (
+            r"permission is hereby granted free of charge(?: to any person obtaining a copy(?: of this software(?: and associated documentation files)?)?)?",
+        ),
+    ),
+    "boost": ("hereby", (r"permission is hereby granted free of charge to any person or organi[sz]ation obtaining a copy of the software and accompanying documentation",)),
+    "ofl": (
+        "hereby font",
+        (
+            r"permission is hereby granted free of charge to any person obtaining a copy of the font software",
+            r"this font software is licen[sc]ed under the sil open font licen[sc]e(?: version 1 [01])?",
+        ),
+    ),
+    "upl": ("hereby", (r"permission is hereby granted to any person obtaining a copy of this software associated documentation and or data",)),
+    "isc": ("hereby", (r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted",)),
+    "bsd-0": ("hereby", (r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software",)),
+    "postgresql": (
+        "hereby",
+        (r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted",),
+    ),
+    "w3c": ("hereby", (r"permission to copy modify and distribute this work with or without modification for any purpose and without fee or royalty is hereby granted",)),
+    "bsd": ("redistribution", (r"redistribution and use in source and binary forms(?: with or without modification(?: are permitted)?)?",)),
+    "bsd-3": ("endorse", (r"neither the names? of (?:[^ ]+ ){1,12}(?:may|nor the names of its contributors may) be used to endorse or promote products",)),
+    "bsd-4": ("advertising", (r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment",)),
+    "apache-1": ("apache", (r"this product includes software developed by the apache (?:software foundation|group)",)),
+    "apache-2": (
+        "apache compliance perpetual",
+        (
+            r"you may not use this file except in compliance with the licen[sc]e",
+            r"apache licen[sc]e version 2 0 january 2004",
+            r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright licen[sc]e",
+        ),
+    ),
+    "gpl-1": ("gnu", (r"gnu general public licen[sc]e version 1 february 1989",)),
+    "gpl-2": ("gnu", (r"gnu general public licen[sc]e version 2 june 1991", r"gnu general public licen[sc]e as published by the free software foundation either version 2")),
+    "gpl-3": ("gnu", (r"gnu general public licen[sc]e version 3 29 june 2007", r"gnu general public licen[sc]e as published by the free software foundation either version 3")),
+    "gpl": (
+        "redistribute copyleft freedom",
+        (
+            r"this program is free software you can redistribute it and or modify it",
+            r"the gnu general public licen[sc]e is a free copyleft licen[sc]e",
+            r"the licen[sc]es for most software are designed to take away your freedom to share and change it",
+        ),
+    ),
+    "lgpl": ("redistribute", (r"this library is free software you can redistribute it and or modify it",)),
+    "lgpl-2-1": ("gnu", (r"gnu lesser general public licen[sc]e version 2 1 february 1999",)),
+    "lgpl-3": ("gnu", (r"gnu lesser general public licen[sc]e version 3 29 june 2007",)),
+    "agpl-3": ("affero", (r"gnu affero general public licen[sc]e version 3 19 november 2007", r"gnu affero general public licen[sc]e as published by the free software foundation either version 3")),
+    "gfdl": ("gnu", (r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e",)),
+    "mpl-1": ("mozilla", (r"the contents of this file are subject to the mozilla public licen[sc]e version 1 [01]",)),
+    "mpl-2": ("mozilla", (r"this source code form is subject to the terms of the mozilla public licen[sc]e(?: v(?:ersion)? ?2 0)?",)),
+    "epl-1": ("eclipse", (r"the accompanying materials are made available under the terms of the eclipse public licen[sc]e v(?:ersion)? ?1 0",)),
+    "epl-2": ("eclipse", (r"the accompanying materials are made available under the terms of the eclipse public licen[sc]e v?(?:ersion)? ?2 0",)),
+    "cddl": ("cddl distribution", (r"the contents of this file are subject to the terms of the common development and distribution licen[sc]e",)),
+    "artistic-1": ("semblance", (r"the intent of this document is to state the conditions under which a package may be copied such that the copyright holder maintains some semblance of artistic control",)),
+    "zlib": (
+        "misrepresented warranty",
+        (
+            r"this software is provided as is without any express or implied warranty in no event will the authors be held liable",
+            r"the origin of this software must not be misrepresented",
+        ),
+    ),
+    "unlicense": ("unencumbered", (r"this is free and unencumbered software(?: released into the public domain)?",)),
+    "wtfpl": ("verbatim", (r"copy and distribute verbatim or modified copies of this licen[sc]e document and changing it is allowed as long as the name is changed",)),
+    "cc0": ("deed", (r"the person who associated a work with this deed has dedicated the work to the public domain",)),
+    "ncsa": ("redistributions", (r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimers",)),
+    "openssl": ("openssl", (r"this product includes software developed by the openssl project",)),
+    "php": ("php", (r"this product includes php software freely available from",)),
+    "psf": ("psf python", (r"this licen[sc]e agreement is between the python software foundation",)),
+    "busl": ("licensor", (r"the licensor hereby grants you the right to copy modify create derivative works redistribute and make non production use",)),
+    "sspl": ("service", (r"if you make the functionality of the program or a modified version available to third parties as a service",)),
+    "elastic": ("licensor", (r"the licensor grants you a non exclusive royalty free worldwide non sublicensable non transferable licen[sc]e to use copy distribute",)),
+}
+_LICENSE = "license licence licenses licences license1 license2 license3 licence1 licence2 licence3"
+#: A keyword that is an everyday word opens its rules only beside one of these, which its patterns hold, too.
+COMPANIONS: dict[str, str] = {
+    **dict.fromkeys(
+        "software server common business universal python database distribution dedication european academic elastic artistic "
+        "eclipse boost mozilla microsoft ms ruby".split(),
+        _LICENSE,
+    ),
+    "php": f"{_LICENSE} freely",
+    "commons": "attribution",
+    "creative": "commons",
+    "consortium": "internet",
+    "berkeley": "distribution",
+    "llama": "community",
+    "rail": "open",
+    "png": "reference",
+    "hereby": "granted",
+    "redistribution": "binary",
+    "redistributions": "retain",
+    "endorse": "promote",
+    "advertising": "materials",
+    "compliance": _LICENSE,
+    "perpetual": "irrevocable",
+    "redistribute": "modify",
+    "freedom": _LICENSE,
+    "font": "sil copy",
+    "verbatim": "copies",
+    "warranty": "implied",
+    "misrepresented": "origin",
+    "deed": "dedicated",
+    "licensor": "grants",
+    "service": "functionality",
+}
 # kind: (priority, confidence, pattern with {n} for the name and {i} for the identifier)
 KINDS: dict[str, tuple[int, float, str]] = {
     "tag": (1, 1.0, r"spdx licen[sc]e identifier {i}"),
@@ -140,6 +250,9 @@ def rules() -> list[dict]:
     for priority, score, pattern in KINDS.values():
         for label, (keywords, name, short) in FAMILIES.items():
             add(label, keywords, priority, score, pattern.replace("{n}", name).replace("{i}", short))
+    for label, (keywords, patterns) in TEXTS.items():
+        for pattern in patterns:
+            add(label, keywords, 2, 0.9, pattern)
     for label in PLAIN_NAMES:
         add(label, FAMILIES[label][0], 6, 0.5, FAMILIES[label][1])
     return found
@@ -213,10 +326,17 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     plain, names = plain_names(docs)
     table = rules()
-    keywords = F.from_json(F.lit(json.dumps(sorted({k for r in table for k in r["keywords"]}))), "array<string>")
+    opening = {k for r in table for k in r["keywords"]}
+    beside = {k: w.split() for k, w in COMPANIONS.items()}
+    looked = F.from_json(F.lit(json.dumps(sorted(opening.union(*beside.values())))), "array<string>")
+    keywords = F.from_json(F.lit(json.dumps(sorted(opening))), "array<string>")
+    companions = F.from_json(F.lit(json.dumps(beside)), "map<string, array<string>>")
     listed = F.from_json(F.lit(json.dumps(table)), _RULE)
     seen = plain.withColumn("words", words_of(ascii_lower(F.col(names[text])), WORD))
-    seen = seen.withColumn("n_words", F.size("words").cast("long")).withColumn("present", F.array_intersect("words", keywords))
+    seen = seen.withColumn("n_words", F.size("words").cast("long")).withColumn("met", F.array_intersect("words", looked))
+    # An everyday word without its companions opens nothing.
+    opened = F.filter("met", lambda w: F.coalesce(F.arrays_overlap(F.try_element_at(companions, w), F.col("met")), F.lit(True)))
+    seen = seen.withColumn("present", F.array_intersect(opened, keywords))
     line = F.when(F.size("present") > 0, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))).otherwise(F.lit(""))
     seen = seen.withColumn("line", line)
     gated = F.filter(listed, lambda r: F.arrays_overlap(r["keywords"], F.col("present")))

@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from millrace.llm import licenses
 
 TEXTS = {
@@ -112,3 +114,37 @@ def test_gated_scan_equals_ungated(spark, monkeypatch):
     every = sorted({k for r in table for k in r["keywords"]} | {w for t in texts for w in re.findall("[a-z0-9]+", t.lower())})
     monkeypatch.setattr(licenses, "rules", lambda: [r | {"keywords": every} for r in table])
     assert gated == read()
+
+
+def _opens(rule, text):
+    words = set(text.split())
+    return any(k in words and (k not in licenses.COMPANIONS or words & set(licenses.COMPANIONS[k].split())) for k in rule["keywords"])
+
+
+def test_everyday_keywords_stand_beside_their_companions():
+    """Whatever a rule matches opens it, everyday words included."""
+    for rule in licenses.rules():
+        if not rule["base"]:
+            tree = re._parser.parse(rule["pattern"][len("(?<= )(?:") : -len(")(?= )")].replace("[^ ]+", "any"))
+            for text in _few(_samples(tree), 40):
+                assert _opens(rule, text), (rule["label"], text)
+
+
+def test_openings_of_license_texts(spark):
+    texts = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\")",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that",
+        "bsd-3": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products",
+        "boost": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation",
+        "apache-2": "You may not use this file except in compliance with the License.",
+        "gpl-3": "GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+        "gpl": "This program is free software: you can redistribute it and/or modify it",
+        "lgpl": "This library is free software; you can redistribute it and/or modify it",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+        "php": "This product includes PHP software, freely available from the site",
+        "": "The server software of our business is universal, common and creative: a python database.",
+    }
+    df = spark.createDataFrame([(i, f"We say. {t} And more.") for i, t in enumerate(texts.values())], "doc_id long, text string")
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan(df).select("doc_id", licenses.labels(F.col("detections")).alias("labels")).collect()}
+    assert [found[i] for i in range(len(texts))] == list(texts)
