@@ -277,6 +277,13 @@ SELECT o_orderkey,
 ORACLE["impute_missing"] = cte("dirty_orders") + _IMPUTED
 ORACLE["clean_readable"] = cte("dirty_orders") + f""", filled AS ({_IMPUTED})
 SELECT DISTINCT o_orderkey, o_custkey, lower(o_orderstatus) AS o_orderstatus, o_totalprice, o_orderdate FROM filled"""
+_CARRIED = ", ".join(
+    f"coalesce(last_value({c} IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), "
+    f"first_value({c} IGNORE NULLS) OVER (ORDER BY o_orderkey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS {c}"
+    for c in ("o_custkey", "o_orderstatus")
+)
+ORACLE["fill_ordered"] = cte("sparse_orders") + f"""
+SELECT o_orderkey, {_CARRIED} FROM sparse_orders"""
 ORACLE["fill_zero"] = cte("dirty_orders") + """
 SELECT o_orderkey, coalesce(o_custkey, 0) AS o_custkey, coalesce(o_totalprice, 0) AS o_totalprice FROM dirty_orders"""
 

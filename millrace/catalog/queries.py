@@ -17,7 +17,7 @@ from millrace.functions.expressions import rounded, union_all
 from millrace.functions.types import ref
 from millrace.operators import (
     charts, cleaning, contingency, evidence, frequency, hypothesis, modelling, moments,
-    neighbours, profiling, quality, screening, search,
+    neighbours, ordering, profiling, quality, screening, search,
 )
 from millrace.operators.summary import numeric_summary
 from millrace.plans import clean, model, profile
@@ -182,6 +182,7 @@ query("business_rules_clip", "dirty_customer")(
     lambda df: cleaning.apply_rules(df, [{"column": "c_acctbal", "op": ">=", "value": 0.0, "action": "clip"}])
 )
 query("impute_missing", "dirty_orders", {"o_totalprice": 4, "o_custkey": 4})(cleaning.impute_missing)
+query("fill_ordered", "sparse_orders")(lambda df: ordering.fill_ordered(df, ["o_custkey", "o_orderstatus"], "o_orderkey"))
 query("fill_zero", "dirty_orders")(lambda df: cleaning.fill_zero(df).select("o_orderkey", "o_custkey", "o_totalprice"))
 
 # --- association ---------------------------------------------------------

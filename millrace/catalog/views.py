@@ -34,6 +34,10 @@ GAPPY_COLUMNS = [f"f{k}" for k in range(60)]
 VIEWS = {
     "gappy_lineitem": f"SELECT {', '.join(_gappy(k) for k in range(len(GAPPY_COLUMNS)))}\nFROM {{lineitem}}",
     "dirty_orders": f"{_DIRTY}\nUNION ALL\n{_DIRTY} WHERE o_orderkey % 50 = 0",
+    "sparse_orders": """SELECT o_orderkey,
+  CASE WHEN o_orderkey % 700 <> 350 THEN NULL ELSE o_custkey END AS o_custkey,
+  CASE WHEN o_orderkey % 3 = 0 OR o_orderkey < 50 THEN NULL ELSE o_orderstatus END AS o_orderstatus
+FROM {orders}""",
     "raw_orders": """SELECT CAST(o_orderkey AS STRING) AS o_orderkey,
   CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS STRING) END AS o_totalprice,
   CASE WHEN o_orderkey % 4 = 0 THEN 'unknown' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS o_orderdate,
