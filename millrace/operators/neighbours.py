@@ -8,7 +8,9 @@ Points are dealt by range into strips of bounded size.  Each strip is swept alon
 more varied axis, until no further point can be among a point's k nearest.  A point
 whose k-th distance reaches into other strips is looked up there as well, which makes
 the distance exact.  The counts by one coordinate come from its values, dealt by range
-with the rows before each block, so that a count is the difference of two places.
+with the rows before each block, so that a count is the difference of two places.  A
+block is given to as many tasks as its questions need, since a coordinate of few values
+has as many questions as one of many; a small table of values goes to the points instead.
 
 Defined results: missing values count as 0; both sides are divided by their standard
 deviation, a constant by 1; nothing random is added, so ties are ties: a row with k
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import types as ty
+from millrace.functions.expressions import union_all
 from millrace.functions.types import as_number
 from millrace.operators.summary import column_facts
 from millrace.session import ship_package
@@ -34,6 +37,12 @@ from millrace.sources.sinks import stage
 K = 3
 #: Points in a strip, and distinct values in a block of one coordinate.
 STRIP_POINTS = 100_000
+#: Distinct values of one coordinate that are sent to all tasks instead (160 KB).
+TABLE_VALUES = 10_000
+#: Questions that a task holds at once, beside the values of their block.
+ASKED_ROWS = 500_000
+#: Points that look for other strips at once.
+REACH_ROWS = 1_000
 
 
 def nearest_distances(
@@ -85,7 +94,8 @@ def _columns(table: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
 
 
 def _lists(rows: np.ndarray) -> pa.Array:
-    return pa.array(list(rows), pa.list_(pa.float64()))
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rows.ravel(), pa.float64()))
 
 
 def _within(k: int) -> Callable:
@@ -99,21 +109,57 @@ def _within(k: int) -> Callable:
     return run
 
 
+def _spread(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) for every place from first up to last of a row."""
+    spans = np.maximum(last - first, 0)
+    row = np.repeat(np.arange(len(first)), spans)
+    return row, np.repeat(first, spans) + np.arange(len(row)) - np.repeat(np.cumsum(spans) - spans, spans)
+
+
+def _places(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.ndarray, beyond: bool) -> np.ndarray:
+    """The first place from low up to high whose value reaches what is wanted, or lies beyond it."""
+    low, high = low.copy(), high.copy()
+    while (low < high).any():
+        middle = np.minimum((low + high) // 2, len(values) - 1)
+        there = values[middle] > wanted if beyond else values[middle] >= wanted
+        open_ = low < high
+        high = np.where(open_ & there, middle, high)
+        low = np.where(open_ & ~there, middle + 1, low)
+    return low
+
+
+def _reached(boxes: np.ndarray) -> Callable:
+    """Which strips a point's distance reaches into; ``boxes`` has a row (strip, x from, to, y from, to) for each.
+
+    Strips follow each other by x, those of one single x by y: such a run is searched by
+    halves, so that a point looks at the strips it meets only.
+    """
+    _, x_from, x_to, y_from, y_to = boxes.T
+    follows = (x_from[1:] == x_to[1:]) & (x_from[:-1] == x_from[1:]) & (x_to[:-1] == x_to[1:])
+    begins = np.flatnonzero(np.concatenate([[True], ~follows]))
+    ends = np.append(begins[1:], len(boxes))
+
+    def run(x: np.ndarray, y: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row, at = _spread(np.searchsorted(x_to[begins], x - r, "left"), np.searchsorted(x_from[begins], x + r, "right"))
+        first = _places(y_to, begins[at], ends[at], y[row] - r[row], beyond=False)
+        last = _places(y_from, begins[at], ends[at], y[row] + r[row], beyond=True)
+        pair, other = _spread(first, last)
+        return row[pair], other
+
+    return run
+
+
 def _outward(boxes: np.ndarray, k: int) -> Callable:
     """(strip, id, x, y, r) for every other strip that a point's distance reaches into."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        reached = _reached(boxes)
+        for batch in (b.slice(i, REACH_ROWS) for b in batches for i in range(0, b.num_rows, REACH_ROWS)):
             strip, ids, x, y = _columns(batch, "strip", "id", "x", "y")
             r = batch["d"].flatten().to_numpy(zero_copy_only=False).reshape(-1, k)[:, -1]
-            # Strips follow each other by x: those that reach the box begin and end together.
-            first = np.searchsorted(boxes[:, 2], x - r, "left")
-            last = np.searchsorted(boxes[:, 1], x + r, "right")
-            spans = np.maximum(last - first, 0)
-            row = np.repeat(np.arange(len(x)), spans)
-            other = np.repeat(first, spans) + np.arange(len(row)) - np.repeat(np.cumsum(spans) - spans, spans)
-            meets = (boxes[other, 3] <= y[row] + r[row]) & (boxes[other, 4] >= y[row] - r[row]) & (boxes[other, 0] != strip[row])
-            row, other = row[meets], other[meets]
+            row, other = reached(x, y, r)
+            others = boxes[other, 0] != strip[row]
+            row, other = row[others], other[others]
             made = [boxes[other, 0].astype(np.int32), ids[row], x[row], y[row], r[row]]
             yield pa.record_batch([pa.array(m) for m in made], ["strip", "id", "x", "y", "r"])
 
@@ -121,12 +167,17 @@ def _outward(boxes: np.ndarray, k: int) -> Callable:
 
 
 def _elsewhere(k: int) -> Callable:
+    """The distances below the bound asked for."""
+
     def run(asked: pa.Table, points: pa.Table) -> pa.Table:
         if not len(asked) or not len(points):
-            return pa.table({"id": pa.array([], pa.int64()), "d": _lists(np.zeros((0, k)))})
+            return pa.table({"id": pa.array([], pa.int64()), "e": pa.array([], pa.float64())})
         ids, qx, qy, r = _columns(asked, "id", "x", "y", "r")
         x, y, w = _columns(points, "x", "y", "w")
-        return pa.table({"id": pa.array(ids), "d": _lists(nearest_distances(x, y, w, qx, qy, r, k, own=False))})
+        found = nearest_distances(x, y, w, qx, qy, r, k, own=False)
+        # Distances are filled with the bound, which is no distance of its own.
+        row, place = np.nonzero(found < r[:, None])
+        return pa.table({"id": pa.array(ids[row]), "e": pa.array(found[row, place])})
 
     return run
 
@@ -142,33 +193,73 @@ def _last_true(values: np.ndarray, near: np.ndarray, test: Callable) -> np.ndarr
         n = n + more - (less & ~more)
 
 
-def _edges(axis: str, firsts: np.ndarray) -> Callable:
-    """Two questions a point: rows up to value + r, and rows below value - r; each to the block that knows."""
+def _edges(axis: str, firsts: np.ndarray, parts: np.ndarray | None = None) -> Callable:
+    """A point's questions: rows up to value + r, less rows below value - r; each to the block that knows.
+
+    If one block knows both, that is one question without an id.  With ``parts``, the
+    questions of a block are dealt to so many groups.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, v, r = _columns(batch, "id", axis, "r")
-            upper = _last_true(firsts, np.searchsorted(firsts, v + r, "right"), lambda f, v=v, r=r: f - v <= r)
-            lower = _last_true(firsts, np.searchsorted(firsts, v - r, "left"), lambda f, v=v, r=r: v - f > r)
-            for sign, blocks in ((1, upper), (-1, lower)):
-                some = blocks > 0
-                made = [(blocks[some] - 1).astype(np.int32), ids[some], v[some], r[some], np.full(some.sum(), sign, np.int64)]
-                yield pa.record_batch([pa.array(m) for m in made], ["block", "id", "v", "r", "sign"])
+            ids, v, w, r = _columns(batch, "id", axis, "w", "r")
+            upper = _last_true(firsts, np.searchsorted(firsts, v + r, "right"), lambda f, v=v, r=r: f - v <= r) - 1
+            lower = _last_true(firsts, np.searchsorted(firsts, v - r, "left"), lambda f, v=v, r=r: v - f > r) - 1
+            both = upper == np.maximum(lower, 0)
+            for sign, some, blocks in ((0, both, upper), (1, ~both, upper), (-1, ~both & (lower >= 0), lower)):
+                at = blocks[some]
+                part = np.zeros(len(at), np.int64) if parts is None else ids[some] % parts[at]
+                made = [pa.array(at.astype(np.int32)), pa.array(part.astype(np.int32))]
+                made.append(pa.nulls(len(at), pa.int64()) if sign == 0 else pa.array(ids[some]))
+                # The weight travels with one of two questions.
+                made += [pa.array(v[some]), pa.array(w[some] * (sign >= 0)), pa.array(r[some]), pa.array(np.full(len(at), sign, np.int64))]
+                yield pa.record_batch(made, ["block", "part", "id", "v", "w", "r", "sign"])
 
     return run
 
 
+def _up_and_down(have: np.ndarray, total: np.ndarray, v: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows up to v + r, and rows below v - r; ``total`` has the rows before each of the values, and all of them."""
+    up = _last_true(have, np.searchsorted(have, v + r, "right"), lambda f: f - v <= r)
+    down = _last_true(have, np.searchsorted(have, v - r, "left"), lambda f: v - f > r)
+    return total[up], total[down]
+
+
+def _tally(n: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each count once, with the weights of its points."""
+    each, at = np.unique(n, return_inverse=True)
+    sums = np.zeros(len(each), np.int64)
+    np.add.at(sums, at, w)
+    return each, sums
+
+
 def _counts(before: np.ndarray) -> Callable:
+    """(id, n, w): of both questions a tally without ids, else a row with the one question's share."""
+
     def run(asked: pa.Table, values: pa.Table) -> pa.Table:
         if not len(asked):
-            return pa.table({"id": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-        block, ids, v, r, sign = _columns(asked, "block", "id", "v", "r", "sign")
-        have, w = _columns(values.sort_by("v"), "v", "w")
-        up = _last_true(have, np.searchsorted(have, v + r, "right"), lambda f: f - v <= r)
-        down = _last_true(have, np.searchsorted(have, v - r, "left"), lambda f: v - f > r)
-        total = np.concatenate([[0], np.cumsum(w)])
-        n = before[block] + total[np.where(sign > 0, up, down)]
-        return pa.table({"id": pa.array(ids), "n": pa.array(sign * n)})
+            return pa.table({"id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "w": pa.array([], pa.int64())})
+        block, w, sign, v, r = _columns(asked, "block", "w", "sign", "v", "r")
+        have, times = _columns(values.sort_by("v"), "v", "w")
+        up, down = _up_and_down(have, np.concatenate([[0], np.cumsum(times)]), v, r)
+        whole = sign == 0
+        n, sums = _tally((up - down)[whole], w[whole])
+        shares = (sign * (before[block] + np.where(sign > 0, up, down)))[~whole]
+        ids = asked["id"].combine_chunks().filter(pa.array(~whole))
+        ids = pa.concat_arrays([pa.nulls(len(n), pa.int64()), ids])
+        return pa.table({"id": ids, "n": np.concatenate([n, shares]), "w": np.concatenate([sums, w[~whole]])})
+
+    return run
+
+
+def _counts_in_table(axis: str, have: np.ndarray, total: np.ndarray) -> Callable:
+    """(n, w) as tallied from a table of all values."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, w, r = _columns(batch, axis, "w", "r")
+            up, down = _up_and_down(have, total, v, r)
+            yield pa.record_batch([pa.array(m) for m in _tally(up - down, w)], ["n", "w"])
 
     return run
 
@@ -180,18 +271,37 @@ def _by_range(points: DataFrame, rows: int, name: str, *by: str) -> DataFrame:
     return points.repartitionByRange(parts, *by).withColumn(name, F.spark_partition_id())
 
 
-def _margin(found: DataFrame, points: DataFrame, axis: str) -> DataFrame:
-    """(id, n): rows whose value on the axis differs by no more than r."""
-    values = points.groupBy(F.col(axis).alias("v")).agg(F.sum("w").alias("w"))
-    values = stage(_by_range(values, points.select(axis).distinct().count(), "block", "v"), "values")
+def _margin(found: DataFrame, values: DataFrame, axis: str) -> DataFrame:
+    """(n, w): how many points, by weight, have n rows whose value on the axis differs by no more than r.
+
+    ``values`` has each value of the axis and its rows.
+    """
+    spark = found.sparkSession
+    distinct = values.count()
+    if distinct <= TABLE_VALUES:
+        have, times = (np.array(c) for c in zip(*values.orderBy("v").collect(), strict=True))
+        run = _counts_in_table(axis, have, np.concatenate([[0], np.cumsum(times)]))
+        return found.select(axis, "w", "r").mapInArrow(run, "n long, w long")
+    values = stage(_by_range(values, distinct, "block", "v"), "blocks")
     blocks = values.groupBy("block").agg(F.min("v").alias("first"), F.sum("w").alias("w")).orderBy("first").collect()
     firsts = np.array([b["first"] for b in blocks])
     before = np.cumsum([0] + [b["w"] for b in blocks])[:-1]
-    places = values.sparkSession.createDataFrame([(b["block"], i) for i, b in enumerate(blocks)], "block int, place int")
-    values = values.join(F.broadcast(places), "block").select(F.col("place").alias("block"), "v", "w")
-    asked = found.select("id", axis, "r").mapInArrow(_edges(axis, firsts), "block int, id long, v double, r double, sign long")
-    answers = asked.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(_counts(before), "id long, n long")
-    return answers.groupBy("id").agg(F.sum("n").alias("n"))
+    schema = "block int, part int, id long, v double, w long, r double, sign long"
+    points = found.select("id", axis, "w", "r")
+    sizes = points.mapInArrow(_edges(axis, firsts), schema).groupBy("block").count().collect()
+    parts = np.ones(len(blocks), np.int64)
+    for row in sizes:
+        parts[row["block"]] = -(-row["count"] // ASKED_ROWS)
+    places = [(b["block"], i, int(parts[i])) for i, b in enumerate(blocks)]
+    places = spark.createDataFrame(places, "block int, place int, parts int")
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    values = values.join(F.broadcast(places), "block").select(F.col("place").alias("block"), part, "v", "w")
+    asked = points.mapInArrow(_edges(axis, firsts, parts), schema)
+    answers = asked.groupBy("block", "part").cogroup(values.groupBy("block", "part"))
+    answers = answers.applyInArrow(_counts(before), "id long, n long, w long")
+    answers = answers.groupBy("id", F.when(F.col("id").isNull(), F.col("n")).alias("whole"))
+    answers = answers.agg(F.sum("n").alias("n"), F.sum("w").alias("w"))
+    return answers.select(F.coalesce("whole", "n").alias("n"), "w")
 
 
 def _digamma(n: Column) -> Column:
@@ -203,35 +313,42 @@ def _digamma(n: Column) -> Column:
     return series
 
 
-def _information(pairs: DataFrame, k: int) -> DataFrame:
-    """(mi) of a table (x, y) without missing values."""
-    points = pairs.groupBy("x", "y").agg(F.count("*").alias("w"))
-    points = stage(points, "points")
-    size = points.agg(F.sum("w").alias("rows"), F.count("*").alias("points")).first()
-    spark = pairs.sparkSession
-    if (size["rows"] or 0) <= k:
-        return spark.createDataFrame([(None,)], "mi double")
-    points = stage(_by_range(points, size["points"], "strip", "x", "y").withColumn("id", F.monotonically_increasing_id()), "strips")
+def _values(points: DataFrame, axis: str) -> DataFrame:
+    """(v, w): each value of the axis and its rows."""
+    return stage(points.groupBy(F.col(axis).alias("v")).agg(F.sum("w").alias("w")), "values")
+
+
+def _radii(points: DataFrame, size: int, k: int) -> DataFrame:
+    """(id, x, y, w, r): the points with what is just below the distance to the k-th other row."""
+    points = stage(_by_range(points, size, "strip", "x", "y").withColumn("id", F.monotonically_increasing_id()), "strips")
     box = [f(c).alias(f"{f.__name__}_{c}") for c in ("x", "y") for f in (F.min, F.max)]
-    boxes = np.array([tuple(r) for r in points.groupBy("strip").agg(*box).orderBy("min_x", "max_x").collect()], np.float64)
+    boxes = points.groupBy("strip").agg(*box).orderBy("min_x", "max_x", "min_y")
+    boxes = np.array([tuple(r) for r in boxes.collect()], np.float64)
     schema = "strip int, id long, x double, y double, w long, d array<double>"
     own = points.select("strip", "id", "x", "y", "w").groupBy("strip").applyInArrow(_within(k), schema)
     own = stage(own, "own")
     asked = own.mapInArrow(_outward(boxes, k), "strip int, id long, x double, y double, r double")
-    others = asked.groupBy("strip").cogroup(points.select("strip", "x", "y", "w").groupBy("strip")).applyInArrow(_elsewhere(k), "id long, d array<double>")
-    # Distances are filled with the bound asked for, which is no distance of its own.
-    far = others.join(own.select("id", F.element_at("d", k).alias("limit")), "id").select("id", F.explode("d").alias("e"), "limit").filter("e < limit")
-    more = far.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("e")), 1, k).alias("more"))
+    others = asked.groupBy("strip").cogroup(points.select("strip", "x", "y", "w").groupBy("strip")).applyInArrow(_elsewhere(k), "id long, e double")
+    # Few points find nearer ones elsewhere; written out, Spark knows how few.
+    more = stage(others.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("e")), 1, k).alias("more")), "more")
     all_d = F.array_sort(F.concat("d", F.coalesce("more", F.array().cast("array<double>"))))
-    found = own.join(more, "id", "left").select("id", "x", "y", "w", F.element_at(all_d, k).alias("k_th"))
+    found = own.join(more, "id", "left").select("id", "x", "y", "w", F.element_at(all_d, k).alias("r"))
     # Strictly within the k-th distance, as far as doubles tell.
-    found = found.select("id", "x", "y", "w", F.col("k_th").alias("r"))
-    found = stage(found.mapInArrow(_just_below, "id long, x double, y double, w long, r double"), "radii")
-    counts = [_margin(found, points, axis).withColumnRenamed("n", f"n_{axis}") for axis in ("x", "y")]
-    both = found.select("id", "w").join(counts[0], "id").join(counts[1], "id")
-    mean = F.sum(F.col("w") * (_digamma(F.col("n_x")) + _digamma(F.col("n_y")))) / F.sum("w")
+    return stage(found.mapInArrow(_just_below, "id long, x double, y double, w long, r double"), "radii")
+
+
+def _information(pairs: DataFrame, k: int) -> DataFrame:
+    """(mi) of a table (x, y) without missing values."""
+    points = pairs.groupBy("x", "y").agg(F.count("*").alias("w"))
+    points = stage(points, "points")
+    size = points.agg(F.sum("w").alias("rows"), F.count("*").alias("points")).first()
+    if (size["rows"] or 0) <= k:
+        return pairs.sparkSession.createDataFrame([(None,)], "mi double")
+    found = _radii(points, size["points"], k)
+    counts = union_all([_margin(found, _values(points, axis), axis) for axis in ("x", "y")])
+    mean = F.sum(F.col("w") * _digamma(F.col("n"))) / F.lit(size["rows"])
     whole = [_digamma(F.lit(n)) for n in (size["rows"], k)]
-    return both.agg(mean.alias("mean")).select(F.greatest(F.lit(0.0), whole[0] + whole[1] - F.col("mean")).alias("mi"))
+    return counts.agg(mean.alias("mean")).select(F.greatest(F.lit(0.0), whole[0] + whole[1] - F.col("mean")).alias("mi"))
 
 
 def _just_below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +361,8 @@ def neighbour_information(df: DataFrame, target: str | None = None, columns: Seq
     """(feature, mi): nearest-neighbour mutual information in nats with ``target``.
 
     The target defaults to the first numeric column.  The driver receives a row for
-    each strip and block; broadcasts are as small.
+    each strip and block, and up to ``TABLE_VALUES`` distinct values of a coordinate;
+    broadcasts are as small.
     """
     nums = ty.number_columns(df)
     target = target or nums[0]

@@ -66,3 +66,45 @@ def test_sweep_finds_what_all_pairs_give():
             every = np.repeat(np.abs(points - p).max(1), w)
             every = np.sort(np.delete(every, np.flatnonzero(every == 0)[0]))
             assert np.allclose(found, every[:3]) and math.isfinite(found[0])
+
+
+@pytest.mark.parametrize("table", [0, 10_000])
+def test_questions_of_few_values_are_dealt_out(spark, monkeypatch, table):
+    """However few values a coordinate has, no task holds more than its share of the questions."""
+    monkeypatch.setattr(nb, "STRIP_POINTS", 40)
+    monkeypatch.setattr(nb, "ASKED_ROWS", 50, raising=False)
+    monkeypatch.setattr(nb, "TABLE_VALUES", table, raising=False)
+    groups = spark.sparkContext.accumulator(0)
+    counts = nb._counts
+
+    def watched(before):
+        run = counts(before)
+
+        def noted(asked, values):
+            groups.add(1)
+            assert len(asked) <= 100
+            return run(asked, values)
+
+        return noted
+
+    monkeypatch.setattr(nb, "_counts", watched)
+    rng = np.random.default_rng(5)
+    for name, x in {"few": rng.integers(0, 3, 400) / 3, "clumps": _tables()["clumps"][1]}.items():
+        y = x + rng.normal(size=400)
+        df = spark.createDataFrame([(float(b), float(a)) for a, b in zip(x, y, strict=True)], "y double, x double")
+        assert nb.neighbour_information(df).first()["mi"] == pytest.approx(_brute(x, y), abs=1e-6), name
+    assert (groups.value > 0) == (table == 0)
+
+
+def test_strips_in_reach():
+    """The search by halves meets the same strips as a look at all boxes."""
+    rng = np.random.default_rng(6)
+    points = np.unique(np.column_stack([rng.choice([0.0, 1.0, 1.5, *rng.normal(size=40)], 900), rng.integers(0, 60, 900) / 7]), axis=0)
+    cuts = np.array_split(points, 60)
+    boxes = np.array([(7 * i % 60, p[:, 0].min(), p[:, 0].max(), p[:, 1].min(), p[:, 1].max()) for i, p in enumerate(cuts)])
+    boxes = boxes[np.lexsort((boxes[:, 3], boxes[:, 2], boxes[:, 1]))]
+    x, y, r = points[::3, 0], points[::3, 1], rng.choice([0.0, 1 / 7, 0.5, 3.0, 50.0], len(points[::3]))
+    row, other = nb._reached(boxes)(x, y, r)
+    meets = (boxes[:, 1] <= (x + r)[:, None]) & (boxes[:, 2] >= (x - r)[:, None])
+    meets &= (boxes[:, 3] <= (y + r)[:, None]) & (boxes[:, 4] >= (y - r)[:, None])
+    assert sorted(zip(row, other, strict=True)) == sorted(zip(*np.nonzero(meets), strict=True))
