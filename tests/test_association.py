@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -199,3 +201,17 @@ def test_gram_products_give_the_sums_of_the_plain_pass(spark, monkeypatch):
     assert wide.keys() == plain.keys()
     for pair, (n, r) in plain.items():
         assert wide[pair][0] == n and wide[pair][1] == (None if r is None else pytest.approx(r, abs=1e-9)), pair
+
+
+def test_gram_rows_are_made_by_methods_the_jvm_compiles(spark, capsys):
+    """Many long column expressions in one generated method run uncompiled beyond 8,000 bytes."""
+    made = [F.when((F.col("id") + k) % 7 != 0, F.col("id") * 0.5 + k * F.sqrt(F.col("id") % (k + 2))).alias(f"f{k}") for k in range(60)]
+    wide = spark.range(50).select(*made)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        gram.pair_moments(wide, wide.columns).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8_000
