@@ -32,6 +32,9 @@ FOREST_MIN_LEAF = 3
 IMPORTANCE_REPEATS = 3
 # Node statistics per pass; more memory means fewer passes over the rows.
 FOREST_MEMORY_MB = 1024
+# Rows of a partition that trees are grown on: each pass reads it from the cache, as one
+# object a row with a count for every tree.
+TREE_ROWS = 500_000
 GUESSING_ACCURACY = 0.55
 
 
@@ -165,6 +168,15 @@ def train_baseline(train: DataFrame, features: Sequence[str], label: str, proble
     return _fit("Baseline Model", est, train, features, label, problem_type)
 
 
+def _dealt(train: DataFrame) -> DataFrame:
+    """The rows in partitions of bounded size; as they are, if none has more."""
+    sizes = train.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("cnt"))
+    found = sizes.agg(F.sum("cnt").alias("rows"), F.max("cnt").alias("most")).first()
+    if (found["most"] or 0) <= TREE_ROWS:
+        return train
+    return train.repartition(math.ceil(found["rows"] / TREE_ROWS))
+
+
 def train_forest(
     train: DataFrame, features: Sequence[str], label: str, problem_type: str,
     trees: int = FOREST_TREES, depth: int = FOREST_DEPTH, seed: int = SEED,
@@ -179,7 +191,7 @@ def train_forest(
         est = RandomForestClassifier(weightCol="weight", **common)
     else:
         est = RandomForestRegressor(**common)
-    return _fit("Random Forest", est, train, features, label, problem_type)
+    return _fit("Random Forest", est, _dealt(train), features, label, problem_type)
 
 
 def train_tuned(
@@ -190,7 +202,7 @@ def train_tuned(
 
     Boosted trees take part for regression and for two classes.
     """
-    ready = train.withColumn(label, ref(label).cast("double"))
+    ready = _dealt(train).withColumn(label, ref(label).cast("double"))
     assembler = _assemble(train, features)
     shared = dict(featuresCol="features", labelCol=label, seed=seed)
     if problem_type == "classification":

@@ -120,3 +120,19 @@ def test_forests_and_tuning(points):
     tuned = m.train_tuned(train, ["a", "b"], "y", "regression")
     fit = {r["metric"]: r["value"] for r in m.regression_metrics(m.score(tuned, test), "y").collect()}
     assert fit["r2"] > 0.9
+
+
+def test_trees_grow_on_partitions_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(m, "TREE_ROWS", 50, raising=False)
+    given = {}
+    monkeypatch.setattr(m, "_fit", lambda name, est, train, *rest: given.setdefault("train", train))
+    train = spark.range(400).select("id", (F.col("id") % 2).cast("double").alias("y")).coalesce(1)
+    for problem in ("regression", "classification"):
+        given.clear()
+        m.train_forest(train, ["id"], "y", problem, trees=2)
+        sizes = [r["count"] for r in given["train"].groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 400 and max(sizes) <= 60, sizes
+    monkeypatch.setattr(m, "TREE_ROWS", 400)
+    given.clear()
+    m.train_forest(train, ["id"], "y", "regression", trees=2)
+    assert given["train"].rdd.getNumPartitions() == 1
