@@ -7,9 +7,11 @@ coordinate alone.  Rows that are equal in both coordinates are one weighted poin
 Points are dealt by range into strips of bounded size.  Each strip is swept along its
 more varied axis, until no further point can be among a point's k nearest.  A point
 whose k-th distance reaches into other strips is looked up there as well, which makes
-the distance exact.  The counts by one coordinate come from its values, dealt by range
-with the rows before each block, so that a count is the difference of two places.  A
-block is given to as many tasks as its questions need, since a coordinate of few values
+the distance exact.  A strip is known by up to three boxes, since one that ends a value
+of x and begins the next has y far apart, and its whole box would be in reach of every
+point of both.  The counts by one coordinate come from its values, dealt by range with
+the rows before each block, so that a count is the difference of two places.  A strip or
+a block is given to as many tasks as its questions need, since a coordinate of few values
 has as many questions as one of many; a small table of values goes to the points instead.
 
 Defined results: missing values count as 0; both sides are divided by their standard
@@ -39,7 +41,7 @@ K = 3
 STRIP_POINTS = 100_000
 #: Distinct values of one coordinate that are sent to all tasks instead (160 KB).
 TABLE_VALUES = 10_000
-#: Questions that a task holds at once, beside the values of their block.
+#: Questions that a task holds at once, beside the values of their block or the points of their strip.
 ASKED_ROWS = 500_000
 #: Points that look for other strips at once.
 REACH_ROWS = 1_000
@@ -129,10 +131,10 @@ def _places(values: np.ndarray, low: np.ndarray, high: np.ndarray, wanted: np.nd
 
 
 def _reached(boxes: np.ndarray) -> Callable:
-    """Which strips a point's distance reaches into; ``boxes`` has a row (strip, x from, to, y from, to) for each.
+    """Which boxes a point's distance reaches into; ``boxes`` has a row (strip, x from, to, y from, to) for each.
 
-    Strips follow each other by x, those of one single x by y: such a run is searched by
-    halves, so that a point looks at the strips it meets only.
+    Boxes follow each other by x, those of one single x by y: such a run is searched by
+    halves, so that a point looks at the boxes it meets only.
     """
     _, x_from, x_to, y_from, y_to = boxes.T
     follows = (x_from[1:] == x_to[1:]) & (x_from[:-1] == x_from[1:]) & (x_to[:-1] == x_to[1:])
@@ -150,18 +152,27 @@ def _reached(boxes: np.ndarray) -> Callable:
 
 
 def _outward(boxes: np.ndarray, k: int) -> Callable:
-    """(strip, id, x, y, r) for every other strip that a point's distance reaches into."""
+    """(strip, id, x, y, r) for every other strip that a point's distance reaches into.
+
+    Nothing is nearer than 0: points with k equal rows don't ask.
+    """
+    strips = int(boxes[:, 0].max()) + 1 if len(boxes) else 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reached = _reached(boxes)
         for batch in (b.slice(i, REACH_ROWS) for b in batches for i in range(0, b.num_rows, REACH_ROWS)):
             strip, ids, x, y = _columns(batch, "strip", "id", "x", "y")
             r = batch["d"].flatten().to_numpy(zero_copy_only=False).reshape(-1, k)[:, -1]
+            asks = r > 0
+            strip, ids, x, y, r = (c[asks] for c in (strip, ids, x, y, r))
             row, other = reached(x, y, r)
-            others = boxes[other, 0] != strip[row]
-            row, other = row[others], other[others]
-            made = [boxes[other, 0].astype(np.int32), ids[row], x[row], y[row], r[row]]
-            yield pa.record_batch([pa.array(m) for m in made], ["strip", "id", "x", "y", "r"])
+            other = boxes[other, 0].astype(np.int64)
+            others = other != strip[row]
+            # A point may reach into several boxes of a strip.
+            row, other = np.divmod(np.unique(row[others] * strips + other[others]), strips)
+            if len(row):
+                made = [other.astype(np.int32), ids[row], x[row], y[row], r[row]]
+                yield pa.record_batch([pa.array(m) for m in made], ["strip", "id", "x", "y", "r"])
 
     return run
 
@@ -318,17 +329,29 @@ def _values(points: DataFrame, axis: str) -> DataFrame:
     return stage(points.groupBy(F.col(axis).alias("v")).agg(F.sum("w").alias("w")), "values")
 
 
+def _boxes(points: DataFrame) -> np.ndarray:
+    """Rows (strip, x from, to, y from, to): boxes of a strip's first x, of its last, and of what lies between."""
+    ends = points.groupBy("strip").agg(F.min("x").alias("first"), F.max("x").alias("last"))
+    box = [f(c).alias(f"{f.__name__}_{c}") for c in ("x", "y") for f in (F.min, F.max)]
+    piece = F.when(F.col("x") == F.col("first"), 0).when(F.col("x") == F.col("last"), 2).otherwise(1)
+    boxes = points.join(F.broadcast(ends), "strip").groupBy("strip", piece.alias("piece")).agg(*box).drop("piece")
+    return np.array([tuple(r) for r in boxes.orderBy("min_x", "max_x", "min_y").collect()], np.float64).reshape(-1, 5)
+
+
 def _radii(points: DataFrame, size: int, k: int) -> DataFrame:
     """(id, x, y, w, r): the points with what is just below the distance to the k-th other row."""
     points = stage(_by_range(points, size, "strip", "x", "y").withColumn("id", F.monotonically_increasing_id()), "strips")
-    box = [f(c).alias(f"{f.__name__}_{c}") for c in ("x", "y") for f in (F.min, F.max)]
-    boxes = points.groupBy("strip").agg(*box).orderBy("min_x", "max_x", "min_y")
-    boxes = np.array([tuple(r) for r in boxes.collect()], np.float64)
+    boxes = _boxes(points)
     schema = "strip int, id long, x double, y double, w long, d array<double>"
     own = points.select("strip", "id", "x", "y", "w").groupBy("strip").applyInArrow(_within(k), schema)
     own = stage(own, "own")
-    asked = own.mapInArrow(_outward(boxes, k), "strip int, id long, x double, y double, r double")
-    others = asked.groupBy("strip").cogroup(points.select("strip", "x", "y", "w").groupBy("strip")).applyInArrow(_elsewhere(k), "id long, e double")
+    asked = stage(own.mapInArrow(_outward(boxes, k), "strip int, id long, x double, y double, r double"), "asked")
+    parts = [(r["strip"], -(-r["count"] // ASKED_ROWS)) for r in asked.groupBy("strip").count().collect()]
+    parts = F.broadcast(points.sparkSession.createDataFrame(parts, "strip int, parts int"))
+    part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    held = points.join(parts, "strip").select("strip", part, "x", "y", "w")
+    asked = asked.join(parts, "strip").select("strip", (F.col("id") % F.col("parts")).cast("int").alias("part"), "id", "x", "y", "r")
+    others = asked.groupBy("strip", "part").cogroup(held.groupBy("strip", "part")).applyInArrow(_elsewhere(k), "id long, e double")
     # Few points find nearer ones elsewhere; written out, Spark knows how few.
     more = stage(others.groupBy("id").agg(F.slice(F.array_sort(F.collect_list("e")), 1, k).alias("more")), "more")
     all_d = F.array_sort(F.concat("d", F.coalesce("more", F.array().cast("array<double>"))))

@@ -96,6 +96,50 @@ def test_questions_of_few_values_are_dealt_out(spark, monkeypatch, table):
     assert (groups.value > 0) == (table == 0)
 
 
+def _asked(spark, monkeypatch, most):
+    """Counts the questions to other strips, of which no task may hold more than so many."""
+    asked_rows = spark.sparkContext.accumulator(0)
+    elsewhere = nb._elsewhere
+
+    def watched(k):
+        run = elsewhere(k)
+
+        def noted(asked, points):
+            asked_rows.add(len(asked))
+            assert len(asked) <= most
+            return run(asked, points)
+
+        return noted
+
+    monkeypatch.setattr(nb, "_elsewhere", watched)
+    return asked_rows
+
+
+def test_questions_to_a_strip_are_dealt_out(spark, monkeypatch):
+    """However many points reach into a strip, no task holds more than its share of them."""
+    monkeypatch.setattr(nb, "STRIP_POINTS", 40)
+    monkeypatch.setattr(nb, "ASKED_ROWS", 20)
+    asked_rows = _asked(spark, monkeypatch, 40)
+    rng = np.random.default_rng(7)
+    # Strips of 400 rows by a continuous x are so thin that many points reach into others.
+    x, y = rng.random(400), rng.random(400)
+    df = spark.createDataFrame([(float(b), float(a)) for a, b in zip(x, y, strict=True)], "y double, x double")
+    assert nb.neighbour_information(df).first()["mi"] == pytest.approx(_brute(x, y), abs=1e-6)
+    assert asked_rows.value > 200
+
+
+def test_few_points_of_few_values_ask_other_strips(spark, monkeypatch):
+    """A strip that ends a value of x and begins the next isn't in reach of all points of both."""
+    monkeypatch.setattr(nb, "STRIP_POINTS", 300)
+    asked_rows = _asked(spark, monkeypatch, 10**6)
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 4, 3000)
+    y = x / 4 + rng.random(3000)
+    df = spark.createDataFrame([(float(b), float(a)) for a, b in zip(x, y, strict=True)], "y double, x double")
+    assert nb.neighbour_information(df).first()["mi"] == pytest.approx(_brute(x, y), abs=1e-6)
+    assert 0 < asked_rows.value < 300
+
+
 def test_strips_in_reach():
     """The search by halves meets the same strips as a look at all boxes."""
     rng = np.random.default_rng(6)
